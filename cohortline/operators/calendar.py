@@ -15,7 +15,7 @@ def day_spine(spark: SparkSession, start: date | str, as_of: datetime | str) ->
     if first > last:
         return spark.createDataFrame([], "calendar_dt timestamp")
     days = F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 DAY"))
-    return spark.range(1).select(F.explode(days).cast("timestamp").alias("calendar_dt"))
+    return spark.range(1).select(F.explode(days).alias("_d")).select(F.col("_d").cast("timestamp").alias("calendar_dt"))
 
 
 def period_end_spine(spark: SparkSession, start: date | str, as_of: datetime | str, unit: str) -> DataFrame:
@@ -33,15 +33,15 @@ def day_spine_over(frame: DataFrame, column: str, as_of: datetime | str) -> Data
     """Day spine starting at the earliest date found in ``frame.column``."""
     first = frame.agg(F.min(F.to_date(column)).alias("first"))
     last = F.lit(times.moment(as_of).date())
-    return first.where(F.col("first") <= last).select(
-        F.explode(F.sequence("first", last, F.expr("INTERVAL 1 DAY"))).cast("timestamp").alias("calendar_dt")
+    days = first.where(F.col("first") <= last).select(
+        F.explode(F.sequence("first", last, F.expr("INTERVAL 1 DAY"))).alias("_d")
     )
+    return days.select(F.col("_d").cast("timestamp").alias("calendar_dt"))
 
 
 def period_ends_over(frame: DataFrame, column: str, as_of: datetime | str, unit: str) -> DataFrame:
     """Period-end spine starting with the period of the earliest ``frame.column``."""
     last = F.lit(times.last_closed_position(unit, as_of))
     first = frame.agg(times.position(unit, F.min(column)).alias("first"))
-    return first.where(F.col("first") <= last).select(
-        times.period_end(unit, F.explode(F.sequence("first", last))).alias("calculated_date")
-    )
+    positions = first.where(F.col("first") <= last).select(F.explode(F.sequence("first", last)).alias("_p"))
+    return positions.select(times.period_end(unit, F.col("_p")).alias("calculated_date"))

@@ -125,3 +125,16 @@ def churn_month(forward: DataFrame) -> DataFrame:
         "email", F.col("visit_month").alias("visit_month_orig"), "cust_type",
         (F.col("visit_month") + shift).alias("visit_month"),
     )
+
+
+def older_history(users: DataFrame) -> DataFrame:
+    """Older variant of the history, over :func:`active_users`: no first-month rule, null counts kept."""
+    order = Window.partitionBy("email").orderBy("yr", "mnth")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = users.select(
+        "yr", "mnth", "email", "db_create_yr", "db_create_mnth", "db_created_count", "db_destroyed_count",
+        F.sum("db_created_count").over(so_far).alias("total_db_created_till_dt"),
+        F.coalesce(F.sum("db_destroyed_count").over(so_far), F.lit(0)).alias("total_db_destroyed_till_dt"),
+        F.lit(0).alias("user_order"),
+    )
+    return mark_active(totals, first_month_rule=False).drop("user_order")

@@ -74,7 +74,7 @@ SELECT c_custkey AS userkey, {email('c_custkey')} AS email, {domain('c_custkey')
        CASE WHEN c_custkey % 4 <> 0 THEN {pick(('free', 'self_serve', 'enterprise'), 'c_custkey % 3')} END AS plan_type
 FROM customer""",
     "snapshots": f"""
-SELECT 'User, "' || c_custkey || '"' AS path, make_timestamp(2000, (c_custkey + v) % 3 + 1, 1, 0, 0, 0.0) AS at,
+SELECT 'User, "' || c_custkey || '"' AS path, make_timestamp(2000, (c_custkey + v) % 3 + 1, 1, 0, 0, 0.0) AS seen_at,
        {pick(('free', None, 'enterprise', 'self_serve'), '(c_custkey + 2 * v) % 4')} AS plan_type
 FROM customer, (VALUES (0), (1), (2)) AS versions(v)""",
     "contacts": f"""
@@ -118,7 +118,7 @@ SELECT {pick(s.PIVOT_EVENTS, f'(k + event_id) % {len(s.PIVOT_EVENTS)}')} AS even
 FROM ev""",
     "page_views": f"""
 SELECT 'd' || user_id || '-' || (event_id % 3) AS did, 'v' || user_id AS device, CAST(floor(epoch(ts)) AS BIGINT) AS secs,
-       epoch_ms(ts) AS ms, {pick(s.PATHS, 'event_id % 3')} AS pathname, {pick(s.REFERRERS, '(k + event_id) % 24')} AS referrer,
+       epoch_us(ts) // 1000 AS ms, {pick(s.PATHS, 'event_id % 3')} AS pathname, {pick(s.REFERRERS, '(k + event_id) % 24')} AS referrer,
        {pick(('a.example', 'b.example', None), 'k % 3')} AS referring_domain,
        {pick([t[0] for t in s.TOUCHES], '(k + event_id) % 24')} AS ir, {pick([t[1] for t in s.TOUCHES], '(k + event_id) % 24')} AS ird,
        {pick([t[2] for t in s.TOUCHES], '(k + event_id) % 24')} AS us, {pick([t[3] for t in s.TOUCHES], '(k + event_id) % 24')} AS um,
@@ -154,15 +154,15 @@ FROM ev""",
 def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     """``body`` preceded by the views it names, in dependency order."""
     known = VIEWS | (extra or {})
+    seen: set[str] = set()
     order: list[str] = []
 
     def need(sql: str) -> None:
         for name in known:
-            if name not in order and re.search(rf"\b{name}\b", sql):
-                if known[name] is not sql:
-                    need(known[name])
-                    if name not in order:
-                        order.append(name)
+            if name not in seen and re.search(rf"\b{name}\b", sql):
+                seen.add(name)
+                need(known[name])
+                order.append(name)
 
     need(body)
     ctes = ",\n".join(f"{n} AS ({known[n].strip()})" for n in order)
