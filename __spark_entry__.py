@@ -112,9 +112,9 @@ def _last_channels(v: StandIn) -> DataFrame:
 
 def _live_digest(v: StandIn) -> DataFrame:
     live = lifetimes.daily_live_assets(v.assets(), s.ASSET_START, s.ASSET_AS_OF)
-    per_email = live.groupBy("calendar_dt", "email").agg(F.count("*").alias("n"), F.sum("dbid").alias("d"))
-    return per_email.groupBy("calendar_dt").agg(
-        F.sum("n").alias("assets"), F.count("email").alias("emails"), F.sum("d").alias("dbid_sum")
+    return live.groupBy("calendar_dt").agg(
+        F.count("*").alias("assets"), F.sum("dbid").alias("dbid_sum"), F.sum("userkey").alias("userkey_sum"),
+        F.count("db_destroyed_at").alias("ending"), F.sum("initial_size_gb").alias("gb"),
     )
 
 
@@ -127,8 +127,8 @@ def _usage_digest(v: StandIn) -> DataFrame:
 
 
 def _querying_digest(v: StandIn) -> DataFrame:
-    days = cohorts.live_owner_days(v.assets(), s.ASSET_START, s.ASSET_AS_OF)
-    active = cohorts.active_and_querying(days, cohorts.daily_queries(v.assets(), v.asset_minutes()))
+    queries = cohorts.daily_queries(v.assets(), v.asset_minutes())
+    active = cohorts.active_and_querying(v.assets(), queries, s.ASSET_START, s.ASSET_AS_OF)
     return active.groupBy("calendar_dt").agg(
         F.count("*").alias("emails"), F.sum("active_user_yn").alias("active_users")
     )

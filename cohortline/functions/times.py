@@ -33,6 +33,11 @@ def elapsed(unit: str, start: Column, end: Column) -> Column:
     return F.timestamp_diff(unit.upper(), start, end)
 
 
+def lasted(start: Column, end: Column, interval: str) -> Column:
+    """At least ``interval`` passed from ``start`` to ``end``, in whole units of it."""
+    return end >= start + F.expr(f"INTERVAL {interval}")
+
+
 def month_index(t: Column) -> Column:
     """Months since year 0, so a difference counts month boundaries."""
     return F.year(t) * 12 + F.month(t) - 1
@@ -61,17 +66,18 @@ def period_end(unit: str, pos: Column) -> Column:
 
 
 def first_end_after(unit: str, t: Column, inclusive: bool = False) -> Column:
-    """First position whose end second is after ``t`` (or equal, if inclusive)."""
-    pos = position(unit, t)
-    end = period_end(unit, pos)
-    missed = (end < t) if inclusive else (end <= t)
-    return pos + missed.cast("int")
+    """First position whose end second is after ``t`` (or equal, if inclusive).
+
+    An end second lies one second before the next position, so this is the
+    position ``t`` has a second later.
+    """
+    ahead = "INTERVAL '0.999999' SECOND" if inclusive else "INTERVAL 1 SECOND"
+    return position(unit, t + F.expr(ahead))
 
 
 def last_end_before(unit: str, t: Column) -> Column:
     """Last position whose end second is strictly before ``t``."""
-    pos = position(unit, t)
-    return pos - (period_end(unit, pos) >= t).cast("int")
+    return first_end_after(unit, t, inclusive=True) - 1
 
 
 def last_closed_position(unit: str, as_of: datetime | date | str) -> int:

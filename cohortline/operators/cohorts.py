@@ -142,15 +142,27 @@ def live_owner_days(assets: DataFrame, start: date | str, as_of: datetime | str)
     return days.select(times.first_date("day", F.col("_day")).alias("calendar_dt"), "email")
 
 
-def active_and_querying(owner_days: DataFrame, queries: DataFrame) -> DataFrame:
+def active_and_querying(
+    assets: DataFrame, queries: DataFrame, start: date | str, as_of: datetime | str
+) -> DataFrame:
     """Per live day and e-mail, 1 if the e-mail's assets completed queries that day.
 
-    ``owner_days`` is :func:`live_owner_days`, or any frame with ``calendar_dt`` and ``email``.
+    Lifetimes and query days go through one sweep, so owner-days are produced
+    once at the end and never shuffled or joined.
     """
-    days = owner_days.select(F.to_date("calendar_dt").alias("calendar_dt"), "email").distinct()
-    asked = queries.select("calendar_dt", "email", F.lit(1).alias("_asked")).distinct()
-    return days.where("calendar_dt is not null").join(asked, ["calendar_dt", "email"], "left").select(
-        "calendar_dt", "email", F.coalesce("_asked", F.lit(0)).alias("active_user_yn")
+    none = F.lit(0).cast("long")
+    live = lifetimes.live_span(assets, start, as_of).select(
+        "email", "first", "last", F.lit(1).cast("long").alias("live"), none.alias("asked")
+    )
+    day = times.position("day", F.col("calendar_dt"))
+    asked = queries.where("calendar_dt is not null and email is not null").select(
+        "email", day.alias("first"), day.alias("last"), none.alias("live"), F.lit(1).cast("long").alias("asked")
+    )
+    runs = intervals.sweep(live.unionByName(asked), ["email"], ["live", "asked"]).where("live > 0")
+    days = intervals.expand(runs, "_day", ["email", "asked"])
+    return days.select(
+        times.first_date("day", F.col("_day")).alias("calendar_dt"), "email",
+        F.when(F.col("asked") > 0, 1).otherwise(0).alias("active_user_yn"),
     )
 
 

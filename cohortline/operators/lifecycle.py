@@ -34,28 +34,31 @@ def tier_month_usage(
     versions of one asset must not overlap.
     """
     tiers = sorted({t for ts in groups.values() for t in ts})
-    live = lifetimes.snapshot_assets(assets, as_of, tiers).repartition("dbid")
+    live = lifetimes.snapshot_assets(assets, as_of, tiers)
     ranges = lifetimes.tenure_range(live, [*USER, "account_id"], groups)
     return _usage(live, ranges, history, as_of, groups)
 
 
 def _usage(live, ranges, history, as_of, groups) -> DataFrame:
     keys = [*USER, "account_id", "tier_group"]
-    tagged = live.select(
-        "*", F.explode(_group_tags(F.col("db_billing_identity"), groups)).alias("tier_group")
-    )
+
+    def tag(frame: DataFrame) -> DataFrame:
+        tags = F.explode(_group_tags(F.col("db_billing_identity"), groups))
+        return frame.select("*", tags.alias("tier_group"))
+
     lo, hi, born = F.col("first"), F.col("last"), F.col("db_created_at")
-    of_age = times.elapsed("hour", born, times.period_end("month", lo)) >= lifetimes.MIN_HOURS
+    of_age = times.lasted(born, times.period_end("month", lo), lifetimes.MIN_LIFE)
     from_month = lo + F.when(of_age, 0).otherwise(1)
     to_month = F.least(hi, times.month_index(lifetimes.end_or(as_of)) - 1)
-    counted = intervals.emit(tagged, keys, [
+    counted = intervals.emit(tag(live), keys, [
         intervals.piece(lo, hi, {"present": 1}, MEASURES),
         intervals.piece(from_month, to_month, {"assets": 1}, MEASURES),
     ])
-    sized = tagged.join(lifetimes.version_span(history, "month", closed=True), "dbid")
+    # Only assets and their versions move by dbid; tier groups and pieces fan out after.
+    sized = live.join(lifetimes.version_span(history, "month", closed=True), "dbid")
     size = F.col("db_size")
     price = F.when(F.col("tier_group").isin(*UNPRICED), F.lit(0)).otherwise(numbers.monthly_price(size / 1024))
-    sizes = intervals.emit(sized.where(size.isNotNull()), keys, [
+    sizes = intervals.emit(tag(sized.where(size.isNotNull())), keys, [
         intervals.piece(
             F.greatest(from_month, F.col("v_first")), F.least(to_month, F.col("v_last")),
             {"sized": 1, "mb": numbers.exact(size), "mrr": price}, MEASURES,
@@ -116,7 +119,7 @@ def lifecycle_status(
     A month in which a measure is gone shows minus the previous month's value.
     """
     tiers = sorted({t for ts in groups.values() for t in ts})
-    live = lifetimes.snapshot_assets(assets, as_of, tiers).repartition("dbid")
+    live = lifetimes.snapshot_assets(assets, as_of, tiers)
     ranges = lifetimes.tenure_range(live, [*USER, "account_id"], groups)
     usage = _usage(live, ranges, history, as_of, groups)
     now = F.lit(times.moment(as_of).date())
@@ -139,7 +142,7 @@ def lifecycle_status(
     for g in groups:
         rows = rows.withColumn(f"_{g}", F.explode_outer(f"_{g}"))
     month_end = times.period_end("month", F.col("_m"))
-    ties = [F.col(f"_{g}") for g in groups]
+    ties = [F.col(f"_{g}")["account_id"] for g in groups]
     order = Window.partitionBy(*USER).orderBy("_m", "account_id", *ties)
 
     def shown(value: Column) -> Column:
@@ -171,11 +174,11 @@ def mrr_customer_since(assets: DataFrame, as_of: datetime | str, tiers: Sequence
     """
     born = F.col("db_created_at")
     midnight = F.date_add(F.to_date(born), 1)
-    late = times.elapsed("hour", born, midnight.cast("timestamp")) < lifetimes.MIN_HOURS
+    late = ~times.lasted(born, midnight.cast("timestamp"), lifetimes.MIN_LIFE)
     end = lifetimes.end_or(as_of)
     return (
         assets.where(F.col("db_billing_identity").isin(*tiers))
-        .where(times.elapsed("hour", born, end) >= lifetimes.MIN_HOURS)
+        .where(times.lasted(born, end, lifetimes.MIN_LIFE))
         .where(times.month_gap(born, end) > 0)
         .groupBy(*USER)
         .agg(F.min(F.when(late, midnight).otherwise(F.to_date(born))).alias("mrr_customer_since"))

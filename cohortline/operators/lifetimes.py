@@ -24,7 +24,7 @@ TIER_GROUPS: Mapping[str, tuple[str, ...]] = {
 }
 PRIVATE_USER = "External Private User"
 INTERNAL = "Internal"
-MIN_HOURS = 2
+MIN_LIFE = "2 HOURS"
 
 
 def account_id() -> Column:
@@ -51,10 +51,15 @@ def live_span(assets: DataFrame, start: date | str, as_of: datetime | str, unit:
 
 
 def daily_live_assets(assets: DataFrame, start: date | str, as_of: datetime | str) -> DataFrame:
-    """One row per asset and day it is live, both end days included."""
+    """One row per asset and day it is live, both end days included.
+
+    Assets are spread by ``dbid`` first: one input split of them can fan out
+    to a thousand times its size.
+    """
     days = F.explode(F.sequence("first", "last"))
     return (
         live_span(assets, start, as_of)
+        .repartition("dbid")
         .select("*", days.alias("_day"))
         .select(times.first_date("day", F.col("_day")).cast("timestamp").alias("calendar_dt"), *assets.columns)
     )
@@ -99,7 +104,7 @@ def snapshot_assets(assets: DataFrame, as_of: datetime | str, tiers: Sequence[st
     Qualified: lived at least two hours and into a later month than it began.
     """
     end = end_or(as_of)
-    lived = times.elapsed("hour", F.col("db_created_at"), end) >= MIN_HOURS
+    lived = times.lasted(F.col("db_created_at"), end, MIN_LIFE)
     later = times.month_index(end) > times.month_index(F.col("db_created_at"))
     return (
         assets.where(F.col("db_billing_identity").isin(*tiers) & (F.col("user_classification") != INTERNAL))

@@ -46,7 +46,7 @@ def usage_runs(
             first.alias("lo"),
             F.least(times.position("day", end), F.lit(times.last_closed_position("day", as_of))).alias("hi"),
             F.coalesce(
-                times.elapsed("day", F.col("db_created_at"), F.col("db_destroyed_at")) > 0, F.lit(False)
+                times.lasted(F.col("db_created_at"), F.col("db_destroyed_at"), "1 DAY"), F.lit(False)
             ).alias("counts"),
             gone_on.alias("gone_on"),
         )
