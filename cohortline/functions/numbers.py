@@ -16,6 +16,23 @@ def exact(c: Column) -> Column:
     return c.cast(EXACT)
 
 
+def micros(c: Column) -> Column:
+    """Millionths as a long: sums exactly, and much faster than a wide decimal.
+
+    Holds totals up to nine million million units; beyond that ANSI arithmetic raises.
+    """
+    return F.round(c * 1000000).cast("long")
+
+
+def from_micros(c: Column) -> Column:
+    return c.cast("double") / 1000000
+
+
+def cents(c: Column) -> Column:
+    """A two-place decimal amount in cents, as a long."""
+    return (c * 100).cast("long")
+
+
 def to_int64(c: Column) -> Column:
     """Cast to long rounding half away from zero (a bare cast truncates)."""
     return F.round(c).cast("long")

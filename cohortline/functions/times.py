@@ -57,7 +57,7 @@ def first_date(unit: str, pos: Column) -> Column:
     """First calendar date of a position."""
     if unit == "day":
         return F.date_from_unix_date(pos)
-    return F.make_date(F.floor(pos / 12).cast("int"), (pos % 12 + 1).cast("int"), F.lit(1))
+    return F.add_months(F.lit(date(1970, 1, 1)), pos - 1970 * 12)
 
 
 def period_end(unit: str, pos: Column) -> Column:

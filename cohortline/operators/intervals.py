@@ -17,12 +17,9 @@ def emit(frame: DataFrame, keys: Sequence[str], pieces: Sequence[Column]) -> Dat
     return frame.select(*keys, F.inline(F.array(*pieces))).where(F.col("first") <= F.col("last"))
 
 
-def piece(first: Column, last: Column, measures: dict[str, Column | int], names: dict[str, str]) -> Column:
-    """A struct for :func:`emit`; ``names`` maps every measure to its type, missing ones are 0."""
-    filled = [
-        F.coalesce(F.lit(0).cast(t) if m not in measures else F.lit(measures[m]).cast(t), F.lit(0).cast(t)).alias(m)
-        for m, t in names.items()
-    ]
+def piece(first: Column, last: Column, measures: dict[str, Column | int], names: Sequence[str]) -> Column:
+    """A struct for :func:`emit` with every measure in ``names`` as a long; those not given are 0."""
+    filled = [F.lit(measures.get(m, 0)).cast("long").alias(m) for m in names]
     return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"), *filled)
 
 

@@ -11,7 +11,7 @@ from cohortline.functions import aggs, numbers, times
 from cohortline.operators import intervals, lifetimes
 
 USER = ("email", "userkey")
-MEASURES = {"present": "long", "assets": "long", "sized": "long", "mb": numbers.EXACT, "mrr": numbers.EXACT}
+MEASURES = ("present", "assets", "sized", "micro_mb", "cents")
 # Fixed value: the tier group that is never charged.
 UNPRICED = ("free",)
 
@@ -36,7 +36,13 @@ def tier_month_usage(
     tiers = sorted({t for ts in groups.values() for t in ts})
     live = lifetimes.snapshot_assets(assets, as_of, tiers)
     ranges = lifetimes.tenure_range(live, [*USER, "account_id"], groups)
-    return _usage(live, ranges, history, as_of, groups)
+    month, previous, following = (times.first_date("month", F.col(c)) for c in ("_m", "_previous", "_next"))
+    return _usage(live, ranges, history, as_of, groups).select(
+        times.period_end("month", F.col("_m")).alias("calculated_date"),
+        month.alias("as_of_date"),
+        *USER, "account_id", "tier_group", "tier_start_date", "tier_churn_date", "num_db", "num_gb", "num_mrr",
+        previous.alias("previous_appearance"), following.alias("next_appearance"),
+    )
 
 
 def _usage(live, ranges, history, as_of, groups) -> DataFrame:
@@ -48,8 +54,11 @@ def _usage(live, ranges, history, as_of, groups) -> DataFrame:
 
     lo, hi, born = F.col("first"), F.col("last"), F.col("db_created_at")
     of_age = times.lasted(born, times.period_end("month", lo), lifetimes.MIN_LIFE)
-    from_month = lo + F.when(of_age, 0).otherwise(1)
-    to_month = F.least(hi, times.month_index(lifetimes.end_or(as_of)) - 1)
+    live = live.withColumns({
+        "from_month": lo + F.when(of_age, 0).otherwise(1),
+        "to_month": F.least(hi, times.month_index(lifetimes.end_or(as_of)) - 1),
+    })
+    from_month, to_month = F.col("from_month"), F.col("to_month")
     counted = intervals.emit(tag(live), keys, [
         intervals.piece(lo, hi, {"present": 1}, MEASURES),
         intervals.piece(from_month, to_month, {"assets": 1}, MEASURES),
@@ -57,54 +66,54 @@ def _usage(live, ranges, history, as_of, groups) -> DataFrame:
     # Only assets and their versions move by dbid; tier groups and pieces fan out after.
     sized = live.join(lifetimes.version_span(history, "month", closed=True), "dbid")
     size = F.col("db_size")
-    price = F.when(F.col("tier_group").isin(*UNPRICED), F.lit(0)).otherwise(numbers.monthly_price(size / 1024))
-    sizes = intervals.emit(tag(sized.where(size.isNotNull())), keys, [
+    sized = sized.where(size.isNotNull()).withColumns({
+        "micro_mb": numbers.micros(size), "cents": numbers.cents(numbers.monthly_price(size / 1024)),
+    })
+    sizes = intervals.emit(tag(sized), keys, [
         intervals.piece(
             F.greatest(from_month, F.col("v_first")), F.least(to_month, F.col("v_last")),
-            {"sized": 1, "mb": numbers.exact(size), "mrr": price}, MEASURES,
+            {"sized": 1, "micro_mb": F.col("micro_mb"), "cents": F.col("cents")}, MEASURES,
         )
     ])
-    runs = intervals.sweep(counted.unionByName(sizes), keys, list(MEASURES), home=USER)
+    runs = intervals.sweep(counted.unionByName(sizes), keys, MEASURES, home=USER)
 
     def of_group(suffix):
         picks = [F.when(F.col("tier_group") == g, F.col(f"{g}_{suffix}")) for g in groups]
         return F.coalesce(*picks)
 
-    months = intervals.expand(runs.where("present > 0"), "_m", [*keys, "assets", "sized", "mb", "mrr"])
+    months = intervals.expand(runs.where("present > 0"), "_m", [*keys, "assets", "sized", "micro_mb", "cents"])
     # A user with two accounts meets two ranges; equal ranges add up, as they would in the joined form.
     joined = months.join(ranges.drop("account_id", "start_date", "churn_date"), list(USER)).select(
-        *keys, "_m", "assets", "sized", "mb", "mrr",
+        *keys, "_m", "assets", "sized", "micro_mb", "cents",
         of_group("start_date").alias("tier_start_date"), of_group("churn_date").alias("tier_churn_date"),
     )
     totals = joined.groupBy(*keys, "_m", "tier_start_date", "tier_churn_date").agg(
-        *[F.sum(m).alias(m) for m in ("assets", "sized", "mb", "mrr")]
+        *[F.sum(m).alias(m) for m in ("assets", "sized", "micro_mb", "cents")]
     )
     order = Window.partitionBy(*USER, "tier_group").orderBy("_m", "account_id", "tier_start_date", "tier_churn_date")
-    day = times.first_date("month", F.col("_m"))
     has_size = F.col("sized") > 0
     free = F.col("tier_group").isin(*UNPRICED)
     return totals.select(
-        times.period_end("month", F.col("_m")).alias("calculated_date"),
-        day.alias("as_of_date"),
-        *keys, "tier_start_date", "tier_churn_date",
+        *keys, "_m", "tier_start_date", "tier_churn_date",
         F.when(F.col("assets") > 0, F.col("assets")).alias("num_db"),
-        F.when(has_size, F.col("mb").cast("double") / 1024).alias("num_gb"),
-        F.when(free, F.lit(0)).when(has_size, F.col("mrr")).cast("decimal(38,2)").alias("num_mrr"),
-        F.lag(day).over(order).alias("previous_appearance"),
-        F.lead(day).over(order).alias("next_appearance"),
+        F.when(has_size, numbers.from_micros(F.col("micro_mb")) / 1024).alias("num_gb"),
+        F.when(free, F.lit(0.0)).when(has_size, F.col("cents") / 100).alias("num_mrr"),
+        F.lag("_m").over(order).alias("_previous"),
+        F.lead("_m").over(order).alias("_next"),
     )
 
 
-def status(count: Column, previous: Column, month_end: Column, start: Column, churn_or_now: Column) -> Column:
-    """Lifecycle state of one tier group in one month; null when none applies."""
-    gap = times.month_gap(previous, month_end)
-    day = F.to_date(month_end)
+def status(count: Column, gap: Column, last_day: Column, start: Column, churn_or_now: Column) -> Column:
+    """Lifecycle state of one tier group in one month; null when none applies.
+
+    ``gap`` is the number of months since the previous appearance, null if there was none.
+    """
     return (
-        F.when((count > 0) & previous.isNull(), "New")
+        F.when((count > 0) & gap.isNull(), "New")
         .when((count > 0) & (gap == 1), "Recurring")
         .when((count > 0) & (gap > 1), "Reactivating")
         .when(count.isNull() & (gap == 1), "Churn")
-        .when(count.isNull() & previous.isNull() & (start < day) & (day < churn_or_now), "Dormant")
+        .when(count.isNull() & gap.isNull() & (start < last_day) & (last_day < churn_or_now), "Dormant")
     )
 
 
@@ -125,8 +134,8 @@ def lifecycle_status(
     now = F.lit(times.moment(as_of).date())
 
     # One list per tier group: a single entry unless the user has several accounts.
-    entry = F.struct("account_id", "tier_start_date", "tier_churn_date", "num_db", "num_gb", "num_mrr", "previous_appearance")
-    by_month = usage.groupBy(*USER, times.month_index(F.col("as_of_date")).alias("_m")).agg(
+    entry = F.struct("account_id", "tier_start_date", "tier_churn_date", "num_db", "num_gb", "num_mrr", "_previous")
+    by_month = usage.groupBy(*USER, "_m").agg(
         *[F.collect_list(F.when(F.col("tier_group") == g, entry)).alias(f"_{g}") for g in groups]
     )
     last = F.least(
@@ -137,11 +146,11 @@ def lifecycle_status(
         .withColumn("_first", times.month_index(F.col("start_date")))
         .where("_first <= _last")
         .select("*", F.explode(F.sequence("_first", "_last")).alias("_m"))
+        .withColumn("_day", F.date_sub(times.first_date("month", F.col("_m") + 1), 1))
     )
     rows = spine.join(by_month, [*USER, "_m"], "left")
     for g in groups:
         rows = rows.withColumn(f"_{g}", F.explode_outer(f"_{g}"))
-    month_end = times.period_end("month", F.col("_m"))
     ties = [F.col(f"_{g}")["account_id"] for g in groups]
     order = Window.partitionBy(*USER).orderBy("_m", "account_id", *ties)
 
@@ -153,16 +162,16 @@ def lifecycle_status(
         at = F.col(f"_{g}")
         out += [
             shown(at["num_db"]).alias(f"num_{g}_db"),
-            shown(at["num_gb"]).cast("double").alias(f"num_{g}_gb"),
-            shown(at["num_mrr"]).cast("double").alias(f"num_{g}_mrr"),
+            shown(at["num_gb"]).alias(f"num_{g}_gb"),
+            shown(at["num_mrr"]).alias(f"num_{g}_mrr"),
             status(
-                at["num_db"], at["previous_appearance"], month_end,
+                at["num_db"], F.col("_m") - at["_previous"], F.col("_day"),
                 F.col(f"{g}_start_date"), F.coalesce(f"{g}_churn_date", now),
             ).alias(f"{g}_status"),
         ]
     return rows.select(
         times.first_date("month", F.col("_m")).alias("as_of_date"),
-        month_end.alias("calculated_date"),
+        times.period_end("month", F.col("_m")).alias("calculated_date"),
         *USER, "account_id", *out,
     )
 

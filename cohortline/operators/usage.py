@@ -11,14 +11,7 @@ from cohortline.functions import numbers, times
 from cohortline.operators import intervals, lifetimes
 
 KEYS = ("email", "userkey", "db_billing_identity")
-MEASURES = {
-    "total": "long",
-    "kept": "long",
-    "gone": "long",
-    "fresh": "long",
-    "sized": "long",
-    "mb": numbers.EXACT,
-}
+MEASURES = ("total", "kept", "gone", "fresh", "sized", "micro_mb")
 
 
 def usage_runs(
@@ -75,10 +68,10 @@ def usage_runs(
     sizes = intervals.emit(sized.where(F.col("db_size").isNotNull()), KEYS, [
         intervals.piece(
             F.greatest(lo, F.col("v_first")), F.least(kept_to, F.col("v_last")),
-            {"sized": 1, "mb": numbers.exact(F.col("db_size"))}, MEASURES,
+            {"sized": 1, "micro_mb": numbers.micros(F.col("db_size"))}, MEASURES,
         )
     ])
-    runs = intervals.sweep(counted.unionByName(sizes), KEYS, list(MEASURES), home=("email", "userkey"))
+    runs = intervals.sweep(counted.unionByName(sizes), KEYS, MEASURES, home=("email", "userkey"))
 
     owners = lifetimes.tenure_range(
         live.withColumns({"db_created_at": F.col("born"), "db_destroyed_at": F.col("died")}),
@@ -95,7 +88,7 @@ def usage_runs(
             from_day.alias("first"), to_day.alias("last"),
             F.col("total").alias("total_db"),
             F.when(F.col("kept") > 0, F.col("kept")).alias("qualified_db"),
-            F.when(F.col("sized") > 0, F.col("mb").cast("double") / 1024).alias("qualified_gb"),
+            F.when(F.col("sized") > 0, numbers.from_micros(F.col("micro_mb")) / 1024).alias("qualified_gb"),
             F.when(F.col("gone") > 0, F.col("gone")).alias("qualified_db_deleted"),
             F.when(F.col("fresh") > 0, F.col("fresh")).alias("qualified_db_new"),
         )

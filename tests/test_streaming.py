@@ -20,7 +20,7 @@ def test_stream_emits_closed_minutes_as_the_batch_does(spark, views, tmp_path):
     got = spark.table("minutes")
     batch = minute_rollup(spark.read.parquet(path))
     assert got.count() > 0
-    assert set(rows(got)) <= set(rows(batch))
+    assert set(map(repr, rows(got))) <= set(map(repr, rows(batch)))
     missing = batch.join(got, ["minute", "dbid"], "left_anti")
     newest = log.agg(F.max("timestamp")).first()[0]
     late = missing.where(F.col("minute") + F.expr("INTERVAL 11 MINUTES") <= F.lit(newest))
