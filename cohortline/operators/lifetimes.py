@@ -71,16 +71,31 @@ def size_as_of(
     at: str,
     closed: bool = True,
     key: str = "dbid",
+    long_histories: bool = False,
 ) -> DataFrame:
     """Adds ``db_size``: the version effective at each point, null if none.
 
-    ``closed`` includes the version's first instant. Versions per asset are
-    few; a hot asset on the points side is split by AQE's skew join.
+    ``closed`` includes the version's first instant. With few versions per
+    asset the join goes by asset, and AQE splits an asset with many points.
+    ``long_histories`` joins by asset and month instead, which also spreads an
+    asset with many versions: each version is listed once per month it spans,
+    within the months the points cover.
     """
     h = history.select(F.col(key).alias("_key"), "db_size", "ts_effective_from", "ts_effective_thru")
     begun = F.col(at) >= F.col("ts_effective_from") if closed else F.col(at) > F.col("ts_effective_from")
     hit = (F.col(key) == F.col("_key")) & begun & (F.col(at) < F.col("ts_effective_thru"))
-    return points.join(h, hit, "left").select(*points.columns, "db_size")
+    columns = points.columns
+    if long_histories:
+        month = times.month_index(F.col(at))
+        first, last = points.agg(F.min(month)).scalar(), points.agg(F.max(month)).scalar()
+        spans = h.withColumns({
+            "_lo": F.greatest(times.month_index(F.col("ts_effective_from")), first),
+            "_hi": F.least(times.month_index(F.col("ts_effective_thru")), last),
+        }).where("_lo <= _hi")
+        h = spans.select("*", F.explode(F.sequence("_lo", "_hi")).alias("_bucket")).drop("_lo", "_hi")
+        points = points.withColumn("_month", month)
+        hit = hit & (F.col("_month") == F.col("_bucket"))
+    return points.join(h, hit, "left").select(*columns, "db_size")
 
 
 def tenure_range(assets: DataFrame, keys: Sequence[str], groups: Mapping[str, Sequence[str]] | None = None) -> DataFrame:

@@ -51,7 +51,7 @@ def stand_in_user_360(v: s.StandIn) -> DataFrame:
         v.users(),
         helpdesk=v.helpdesk(),
         subjects=v.subjects(),
-        assets=v.assets(sequence=True),
+        assets=v.first_assets(),
         plans=crm.initial_plan(v.snapshots()).withColumn("userkey", F.col("userkey").cast("long")),
         summary=billing.user_asset_summary(assets, s.ASSET_AS_OF),
         billing=billing.billing_summary(billing.hourly_usage(v.billing_hours(), assets)),

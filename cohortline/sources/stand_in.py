@@ -119,6 +119,12 @@ class StandIn:
     def domain(key: Column) -> Column:
         return F.concat(F.lit("d"), key % 25, F.lit(".example"))
 
+    @staticmethod
+    def classification(key: Column) -> Column:
+        return (
+            F.when(key % 5 == 0, "Internal").when(key % 5 == 1, "External Private User").otherwise("External Company User")
+        )
+
     # Assets and what hangs on them
 
     def assets(self, sequence: bool = False) -> DataFrame:
@@ -132,19 +138,12 @@ class StandIn:
         )
         life = F.make_dt_interval((F.col("dbid") * 37 % 200).cast("int"), (F.col("dbid") % 5).cast("int"))
         orders = orders.withColumn("db_destroyed_at", F.when(~F.col("_live"), F.col("db_created_at") + life))
-        segment = F.col("c_mktsegment")
-        kind = (
-            F.when(segment == "MACHINERY", "Internal")
-            .when(segment == "HOUSEHOLD", "External Private User")
-            .otherwise("External Company User")
-        )
-        customer = self.table("customer").select(F.col("c_custkey").alias("userkey"), kind.alias("user_classification"))
         dbid, user = F.col("dbid"), F.col("userkey")
         end = F.coalesce("db_destroyed_at", F.lit(ASSET_AS_OF).cast("timestamp"))
         initial, recent = F.pow(F.lit(2.0), dbid % 4), F.pow(F.lit(2.0), (dbid + 2) % 4)
-        out = orders.join(customer, "userkey").select(
+        out = orders.select(
             "dbid", "userkey", self.email(user).alias("email"), self.domain(user).alias("email_domain"),
-            "user_classification",
+            self.classification(user).alias("user_classification"),
             pick(("Enterprise", "Direct", "Free", "GCP", "GDS"), F.col("_p") - 1).alias("db_billing_identity"),
             pick(("enterprise", "professional", "free", "professional", "gds"), F.col("_p") - 1).alias("db_tier"),
             "db_created_at", "db_destroyed_at",
@@ -168,6 +167,11 @@ class StandIn:
             F.when(F.col("dbid") == F.col("_last.dbid"), 1).otherwise(2).alias("user_db_rsequence"),
         )
 
+    def first_assets(self) -> DataFrame:
+        """Every user's first asset: the rows with sequence 1, found by a minimum instead of a join."""
+        first = F.min(F.struct("db_created_at", "dbid", "db_billing_identity")).alias("_f")
+        return self.assets().groupBy("userkey").agg(first).select("userkey", "_f.*", F.lit(1).alias("user_db_sequence"))
+
     def size_history(self) -> DataFrame:
         v = F.col("version")
         start = F.col("db_created_at") + F.make_dt_interval(v * 30)
@@ -214,14 +218,12 @@ class StandIn:
     def users(self) -> DataFrame:
         born = self.assets().groupBy("userkey").agg(F.min("db_created_at").alias("_born"))
         key = F.col("c_custkey")
-        segment = F.col("c_mktsegment")
         plan = F.when(key % 4 != 0, pick(("free", "self_serve", "enterprise"), key % 3))
         created = F.coalesce("_born", F.lit("1995-01-01 00:00:00").cast("timestamp"))
         c = self.table("customer").withColumn("userkey", key)
         return c.join(born, "userkey", "left").select(
             "userkey", self.email(key).alias("email"), self.domain(key).alias("email_domain"),
-            F.when(segment == "MACHINERY", "Internal").when(segment == "HOUSEHOLD", "External Private User")
-            .otherwise("External Company User").alias("user_classification"),
+            self.classification(key).alias("user_classification"),
             (created - F.make_dt_interval((key % 10).cast("int"))).alias("createdat"),
             plan.alias("PlanType"),
         )

@@ -23,8 +23,10 @@ def domain(key: str) -> str:
     return f"('d' || (({key}) % 25) || '.example')"
 
 
-KIND = """CASE c_mktsegment WHEN 'MACHINERY' THEN 'Internal' WHEN 'HOUSEHOLD' THEN 'External Private User'
-          ELSE 'External Company User' END"""
+def kind(key: str) -> str:
+    return f"CASE {key} % 5 WHEN 0 THEN 'Internal' WHEN 1 THEN 'External Private User' ELSE 'External Company User' END"
+
+
 ASSET_NOW = f"TIMESTAMP '{s.ASSET_AS_OF}'"
 EVENT_NOW = f"TIMESTAMP '{s.EVENT_AS_OF}'"
 TITLES = pick(("CTO", None, "Engineer", "Analyst"), "{0} % 4")
@@ -32,13 +34,13 @@ TITLES = pick(("CTO", None, "Engineer", "Analyst"), "{0} % 4")
 VIEWS: dict[str, str] = {
     "bare_assets": f"""
 SELECT o_orderkey AS dbid, o_custkey AS userkey, {email('o_custkey')} AS email, {domain('o_custkey')} AS email_domain,
-       {KIND} AS user_classification,
+       {kind('o_custkey')} AS user_classification,
        {pick(('Enterprise', 'Direct', 'Free', 'GCP', 'GDS'), "CAST(o_orderpriority[1] AS INT) - 1")} AS tier,
        {pick(('enterprise', 'professional', 'free', 'professional', 'gds'), "CAST(o_orderpriority[1] AS INT) - 1")} AS db_tier,
        o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT)) AS born,
        CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + to_hours(CAST(o_orderkey % 24 AS INT))
             + to_days(CAST(o_orderkey * 37 % 200 AS INT)) + to_hours(CAST(o_orderkey % 5 AS INT)) END AS died
-FROM orders JOIN customer ON o_custkey = c_custkey""",
+FROM orders""",
     "assets": f"""
 SELECT *, pow(2.0, dbid % 4) AS initial_size_gb, pow(2.0, (dbid + 2) % 4) AS most_recent_size_gb,
        pow(2.0, (dbid + 2) % 4) * 1024 AS most_recent_size_mb,
@@ -68,7 +70,7 @@ FROM lineitem""",
 SELECT {email('user_id')} AS owner, ts AS at FROM events WHERE event_type = 'purchase'""",
     "users": f"""
 SELECT c_custkey AS userkey, {email('c_custkey')} AS email, {domain('c_custkey')} AS email_domain,
-       {KIND} AS user_classification,
+       {kind('c_custkey')} AS user_classification,
        coalesce((SELECT min(born) FROM bare_assets a WHERE a.userkey = c_custkey), TIMESTAMP '1995-01-01')
          - to_days(CAST(c_custkey % 10 AS INT)) AS createdat,
        CASE WHEN c_custkey % 4 <> 0 THEN {pick(('free', 'self_serve', 'enterprise'), 'c_custkey % 3')} END AS plan_type

@@ -93,6 +93,13 @@ def test_size_as_of_bounds(spark):
     assert sizes(False) == [None, 10.0, None]
 
 
+def test_size_as_of_by_month_equals_by_asset(views):
+    points, history = views.billing_hours(), views.size_history()
+    for closed in (True, False):
+        same_rows(lifetimes.size_as_of(points, history, "hour_of_day", closed, long_histories=True),
+                  lifetimes.size_as_of(points, history, "hour_of_day", closed))
+
+
 def test_tenure_has_no_churn_while_anything_is_live(spark):
     gone = assets_of(spark, ("Free", "2020-01-01 00:00:00", "2020-02-01 00:00:00"), ("GCP", "2020-01-05 00:00:00", "2020-03-01 00:00:00"))
     r = lifetimes.tenure_range(gone, ["userkey"], lifetimes.TIER_GROUPS).first()
