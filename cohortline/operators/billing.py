@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from cohortline.functions import aggs, numbers
-from cohortline.operators.lifetimes import PRO_TIERS, end_or
+from cohortline.operators.lifetimes import PRO_TIERS, account_id, end_or
 
 # Tier groups with their own start and churn, and tiers with their own live counts.
 SPAN_GROUPS = {"free": ("Free",), "pro": PRO_TIERS, "enterprise": ("Enterprise",), "gds": ("GDS",)}
@@ -47,8 +47,6 @@ def user_asset_summary(assets: DataFrame, as_of: datetime | str) -> DataFrame:
 
 def user_asset_summary_narrow(assets: DataFrame) -> DataFrame:
     """One row per e-mail, user and account: channels, counts, start and churn of free and pro."""
-    from cohortline.operators.lifetimes import account_id
-
     tier, born, died = F.col("db_billing_identity"), F.col("db_created_at"), F.col("db_destroyed_at")
     out = [
         aggs.sorted_list(tier).alias("channels"),

@@ -327,7 +327,8 @@ def activation_timeline(logins: DataFrame, opens: DataFrame, creations: Sequence
     """First login, first creation over all creation tables, first open per label; one row per label.
 
     Inputs are daily counts with a ``calendar_date``. The joined sides are
-    unique per key, so no final distinct is needed.
+    unique per key, so no final distinct is needed. The id in the final order
+    lets the sort split a busy day over tasks.
     """
     first = logins.groupBy("distinct_id", "email").agg(F.min("calendar_date").alias("first_login_dt"))
     opened = opens.groupBy("distinct_id", "event_label").agg(F.min("calendar_date").alias("first_launch_dt"))
@@ -339,7 +340,7 @@ def activation_timeline(logins: DataFrame, opens: DataFrame, creations: Sequence
         first.join(opened, "distinct_id", "left")
         .join(made, "distinct_id", "left")
         .select("first_login_dt", "distinct_id", "email", "first_db_create_dt", "event_label", "first_launch_dt")
-        .orderBy("first_login_dt")
+        .orderBy("first_login_dt", "distinct_id")
     )
 
 

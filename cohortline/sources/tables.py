@@ -43,7 +43,8 @@ def put_days(frame: DataFrame, path: str, day_column: str = DAY) -> None:
     """Add whole days to a table partitioned by day.
 
     Days in ``frame`` replace the same days in the table and other days stay,
-    so running a day twice does not count it twice.
+    so running a day twice does not count it twice. A day without any row in
+    ``frame`` is left as it was.
     """
     (
         frame.write.option("partitionOverwriteMode", "dynamic")
