@@ -147,6 +147,7 @@ SELECT ts, user_id AS dbid, {pick(('ann', 'bob', None), 'event_id % 3')} AS user
        {pick(s.ANNOTATIONS, '(k + event_id) % 4')} AS annotation,
        CASE WHEN k % 11 = 0 THEN 'failed' END AS failure,
        CASE WHEN k % 11 = 0 THEN 'ClientError: bad' || chr(10) || 'line ' || k END AS trace,
+       CASE WHEN value * 4 - 100 < 0 THEN 0 ELSE value * 4 - 100 END AS raw_bytes, CASE WHEN value - 50 < 0 THEN 0 ELSE value - 50 END AS raw_millis,
        greatest(CAST(value * 4 - 100 AS DECIMAL(28,6)), 0) AS bytes, greatest(CAST(value - 50 AS DECIMAL(28,6)), 0) AS millis,
        CAST(k * 1.5 AS DECIMAL(28,6)) AS hits, CAST(k * 0.5 AS DECIMAL(28,6)) AS faults
 FROM ev""",
