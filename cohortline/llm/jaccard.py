@@ -276,3 +276,26 @@ def _search_unit(held: list[tuple], percent: int) -> list[tuple[int, int]]:
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+
+
+def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The row with the smallest doc_id of each component; the columns of docs.
+
+    Of rows that share a doc_id one stays. Rows with a null doc_id stay, as do
+    those without words. Only ids that go or repeat are joined to the texts.
+    """
+    joined = cut(jaccard_join(docs, k, percent).where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count("*").alias("n")))
+    gone = joined.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
+    again = joined.where("component_id = doc_id and n > 1").select(F.col("doc_id").alias("__again"))
+
+    def small(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    left = docs.join(small(gone), docs.doc_id.cast("long") == F.col("__gone"), "left_anti")
+    if again.take(1):
+        repeats = small(again)
+        same = docs.doc_id.cast("long") == F.col("__again")
+        left = left.join(repeats, same, "left_anti").unionByName(
+            left.join(repeats, same, "left_semi").dropDuplicates(["doc_id"]))
+    return left

@@ -11,7 +11,7 @@ from . import chat, decontaminate, embeddings, fixity, jaccard, lm, mixing, qual
 SEED = 17
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{table}.parquet")
 
 
@@ -20,27 +20,27 @@ def remainder(n: int):
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_join(_read(spark, sf_dir, "documents"), k=3, percent=90).select(
+    return jaccard.jaccard_join(read(spark, sf_dir, "documents"), k=3, percent=90).select(
         "doc_id", "n_shingles", "component_id")
 
 
 def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"), 0.9)
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"), 0.9)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return token_counts.token_counts(_read(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")), 512)
+    return token_counts.token_counts(read(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")), 512)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixing.mix(_read(spark, sf_dir, "documents"), (3, 1, 2), 1.5, 2.0, SEED)
+    rows = mixing.mix(read(spark, sf_dir, "documents"), (3, 1, 2), 1.5, 2.0, SEED)
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    rows = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
     turns = rows.unionByName(extra).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
@@ -48,25 +48,25 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder(5) == 0
-    lexicon = toxicity.learn(docs, _read(spark, sf_dir, "labels"), held_out)
+    lexicon = toxicity.learn(docs, read(spark, sf_dir, "labels"), held_out)
     return toxicity.score(docs, lexicon, "score").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     held_out = remainder(4) == 2
-    machine = quality.learn(docs, _read(spark, sf_dir, "labels"), held_out)
+    machine = quality.learn(docs, read(spark, sf_dir, "labels"), held_out)
     return quality.score(docs, machine, "score").select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op8_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The archive of all pages against a replica in which the last character of some pages is another."""
-    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
-    struck = F.pmod(F.crc32(F.col("page_id").cast("string").cast("binary")), F.lit(97)) == 0
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    struck = F.substring(F.md5(F.col("page_id").cast("string").cast("binary")), 1, 2) < "04"
     other = F.when(F.col("html").endswith("#"), F.lit("*")).otherwise(F.lit("#"))
     replica = pages.withColumn("html", F.when(struck, F.concat(F.expr("substr(html, 1, length(html) - 1)"), other))
                                .otherwise(F.col("html")))
@@ -74,13 +74,13 @@ def op8_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _read(spark, sf_dir, "documents").select("doc_id", (remainder(7) == 2).alias("held_out"), "text")
+    docs = read(spark, sf_dir, "documents").select("doc_id", (remainder(7) == 2).alias("held_out"), "text")
     model, counts = lm.learn(docs.where(~F.coalesce("held_out", F.lit(False))).select("text"))
     return lm.score(docs, model, counts)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.summary(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), 10)
+    return decontaminate.summary(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), 10).drop("longest")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -46,6 +46,12 @@ _WORD = re.compile(r"[^\W_]+")
 #: Phrases in which listed words are harmless; given in plain spelling.
 EXCEPTIONS = ("clown fish", "clown car", "circus clown", "trash can", "trash bin", "trash bag", "idiot proof", "scum line")
 
+#: Words that mark abuse whatever the labelled texts hold; given in plain spelling.
+SEEDS = ("idiot", "moron", "imbecile", "cretin", "stupid", "dumb", "loser", "scum", "vermin", "filth", "trash", "worthless",
+         "pathetic", "disgusting", "clown", "bastard", "asshole", "bitch", "jerk", "scumbag", "retard", "dumbass")
+#: Weight of a seed that the labelled texts say nothing about.
+SEED_WEIGHT = 4.0
+
 #: Most lexicon entries and most labelled documents that a model is fitted on.
 MOST_TERMS = 2_000
 MOST_LABELLED = 20_000
@@ -124,15 +130,18 @@ class Lexicon:
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out, exceptions: tuple[str, ...] = EXCEPTIONS,
-          most_labelled: int = MOST_LABELLED, most_terms: int = MOST_TERMS, least_support: int = 3) -> Lexicon:
+          most_labelled: int = MOST_LABELLED, most_terms: int = MOST_TERMS, least_support: int = 3,
+          marks_wanted: int = 2) -> Lexicon:
     """A lexicon from labelled documents: terms that mark toxic texts, by their log odds.
 
     Document frequencies of words and word beginnings are counted by label in
     Spark. Of the candidates (in `least_support` toxic texts at least, with odds
-    above e^3) the one that marks most texts not marked yet is taken, until it
-    marks fewer than `least_support`, so words that only go along with toxic
-    ones are left out. The two measures of a text are then calibrated by a
-    logistic fit. All of it uses the bounded sample of labelled_sample.
+    above e^3) the one that is in most texts that still want marks is taken, a
+    text wanting `marks_wanted`, until it marks fewer than `least_support`; so
+    words that only go along with toxic ones are left out. SEEDS are entries
+    from the start, with learned weights where there are any. The two measures
+    of a text are then calibrated by a logistic fit. All of it uses the bounded
+    sample of labelled_sample. Without labelled toxic texts the seeds remain.
     """
     sample = labelled_sample(docs, labels, "toxic", held_out, most_labelled)
 
@@ -150,9 +159,10 @@ def learn(docs: DataFrame, labels: DataFrame, held_out, exceptions: tuple[str, .
     counted = sample.mapInArrow(frequencies, "term string, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(
         f"term = '' or toxic >= {least_support} and toxic > 20 * clean")
+    seeds = {fold(w): SEED_WEIGHT for w in SEEDS}
     total = {r.term: r for r in counted.where("term = ''").collect()}.get("")
     if total is None or not total.toxic:
-        return Lexicon({}, exceptions)
+        return Lexicon(seeds, exceptions)
     odds = F.log(((F.col("toxic") + 0.5) / (total.toxic + 1)) / ((F.col("clean") + 0.5) / (total.clean + 1)))
     candidates = counted.where("term <> ''").withColumn("weight", odds).where("weight > 3").orderBy(
         F.desc("toxic"), F.length("term"), "term").limit(most_terms)
@@ -164,17 +174,34 @@ def learn(docs: DataFrame, labels: DataFrame, held_out, exceptions: tuple[str, .
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["terms"])
 
     texts_of: dict[str, set[int]] = {}
+    wanted: dict[int, int] = {}
     for i, row in enumerate(sample.where("label = 1").mapInArrow(marks, "terms array<string>").toLocalIterator()):
+        wanted[i] = marks_wanted
         for term in row.terms:
             texts_of.setdefault(term, set()).add(i)
     chosen: dict[str, float] = {}
+
+    def take(term: str, weight: float) -> None:
+        chosen[term] = weight
+        done = set()
+        for i in texts_of.pop(term, ()):
+            wanted[i] -= 1
+            if not wanted[i]:
+                done.add(i)
+        for t in list(texts_of):
+            # longer and shorter forms of a term mark the same words
+            if t.strip().startswith(term.strip()) or not t.endswith(" ") and term.startswith(t):
+                texts_of.pop(t)
+            elif done:
+                texts_of[t] -= done
+
+    for term, weight in seeds.items():
+        take(term, max(weight, weights.get(term, 0.0)))
     while texts_of:
         term = min(texts_of, key=lambda t: (-len(texts_of[t]), not t.endswith(" "), len(t), t))
-        covered = texts_of.pop(term)
-        if len(covered) < least_support:
+        if len(texts_of[term]) < least_support:
             break
-        chosen[term] = float(weights[term])
-        texts_of = {t: left for t, s in texts_of.items() if (left := s - covered)}
+        take(term, float(weights[term]))
     return calibrated(Lexicon(chosen, exceptions), sample)
 
 
