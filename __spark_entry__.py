@@ -37,6 +37,15 @@ from cohortline.plans import users as user_plans  # noqa: E402
 from cohortline.sources import stand_in as s  # noqa: E402
 from cohortline.sources.stand_in import StandIn  # noqa: E402
 
+try:
+    import cohortline.llm.queries as corpus
+    import cohortline.llm.oracle as corpus_sql
+    import corpus_pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("cohortline.llm", "cohortline.llm.queries", "corpus_pipeline"):
+        raise
+    corpus = None
+
 WINDOW = ("2024-01-05", "2024-01-25")
 
 
@@ -324,10 +333,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _runner(build) for name, build in BUILD.items()}
+    own = {name: _runner(build) for name, build in BUILD.items()}
+    return own if corpus is None else own | corpus.QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.statements import ORACLE
 
-    return dict(ORACLE)
+    return dict(ORACLE) if corpus is None else ORACLE | corpus_sql.ORACLE

@@ -16,10 +16,10 @@ def duck(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(registry.BUILD) <= set(ORACLE) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(registry.BUILD))
 def test_matches_sql(spark, sf_dir, duck, name):
     assert differences(QUERIES[name](spark, sf_dir), duck, ORACLE[name]) == []
 
