@@ -30,9 +30,9 @@ sets AS (
     ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
   FROM words),
 each AS (SELECT doc_id, unnest(s) AS x FROM sets),
-overlaps AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS o FROM each p JOIN each q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY 1, 2),
+met AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS o FROM each p JOIN each q ON p.x = q.x AND p.doc_id <> q.doc_id GROUP BY 1, 2),
 both_ways AS (
-  SELECT o.a, o.b FROM overlaps o JOIN sets p ON p.doc_id = o.a JOIN sets q ON q.doc_id = o.b
+  SELECT o.a, o.b FROM met o JOIN sets p ON p.doc_id = o.a JOIN sets q ON q.doc_id = o.b
   WHERE 100 * o.o >= 90 * (len(p.s) + len(q.s) - o.o)),
 {_REACH}
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(l.low, s.doc_id)) AS component_id
