@@ -25,8 +25,12 @@ _U = np.uint64
 _C1, _C2 = _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)
 #: Ids of living classes that may be broadcast (16 MB); beyond it they join by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Classes in a block of one list.
+#: Classes in a block of one list, and candidates of a query up to which long lists are probed.
 BLOCK = 512
+MOST_PROBED = 16
+#: Classes and shingles (32 MB) of a candidate group that one task searches whole; larger groups go list by list, in blocks.
+GROUP_CLASSES = 4_096
+GROUP_SHINGLES = 4_000_000
 
 
 def least_overlap(n, percent: int):
@@ -101,13 +105,15 @@ class _Union:
 
 
 def search_block(ids: list[int], sets: list[np.ndarray], queries: np.ndarray, indexed: np.ndarray,
-                 percent: int) -> list[tuple[int, int]]:
+                 least: np.ndarray, needed) -> list[tuple[int, int]]:
     """Links that join `queries` to `indexed` (positions in ids), as a spanning forest of what links here.
 
-    DivideSkip: with T the overlap that a query needs, its longest lists, T - 1
-    at most, are set aside. The other, short lists are merged, which counts how
-    often each indexed set occurs in them. A set that could still reach the
-    overlap that the pair's own sizes ask for is probed in the long lists by
+    needed(x) gives the overlap at which x links with each set, and least[x] is
+    one that no link of x falls below. DivideSkip: with T = least[x], its longest lists, T - 1
+    of them, are set aside. The other, short lists are merged, which counts how
+    often each indexed set occurs in them (sets of a block are numbered densely,
+    so an array of counts takes the heap's place). A set that could still reach
+    the overlap that the pair's own sizes ask for is probed in the long lists by
     binary search of its sorted hashes. Sets already in the query's component
     need no more links and are passed over.
     """
@@ -117,11 +123,8 @@ def search_block(ids: list[int], sets: list[np.ndarray], queries: np.ndarray, in
         if linked.join(x, y):
             found.append((ids[x], ids[y]))
 
-    def links(x: int, y: int, overlap: int) -> bool:
-        return 100 * overlap >= percent * (len(sets[x]) + len(sets[y]) - overlap)
-
     if len(ids) == 2:
-        if links(0, 1, _overlap(sets[0], sets[1])):
+        if _overlap(*sets) >= needed(0)[1]:
             join(0, 1)
         return found
     every = np.concatenate([sets[y] for y in indexed])
@@ -135,18 +138,24 @@ def search_block(ids: list[int], sets: list[np.ndarray], queries: np.ndarray, in
         low = np.searchsorted(every, s, "left")
         lengths = np.searchsorted(every, s, "right") - low
         by_length = np.argsort(lengths, kind="stable")
-        aside = least_overlap(len(s), percent) - 1
+        aside = max(0, int(least[x]) - 1)
         short, long = by_length[: len(s) - aside], by_length[len(s) - aside:]
         runs = [owner[low[i]: low[i] + lengths[i]] for i in short if lengths[i]]
         if not runs:
             continue
-        counts = np.bincount(np.sort(np.concatenate(runs), kind="stable"), minlength=len(ids))
-        # 100 o >= p (|x| + |y| - o), solved for the overlap o
-        needed = -((-percent * (len(s) + size)) // (100 + percent))
-        may = np.flatnonzero((counts > 0) & (counts + len(long) >= needed) & (size >= needed) & (root != root[x]))
-        probes = np.sort(s[long])
-        for y in may:
-            if y != x and root[y] != root[x] and links(x, y, counts[y] + _overlap(probes, sets[y])):
+        counts = np.bincount(np.concatenate(runs), minlength=len(ids))
+        want = needed(x)
+        may = np.flatnonzero((counts > 0) & (counts + len(long) >= want) & (size >= want) & (root != root[x]))
+        if not len(long):
+            exact = may
+        elif len(may) > MOST_PROBED:  # then merging the long lists as well costs less than probing them
+            counts += np.bincount(np.concatenate([owner[low[i]: low[i] + lengths[i]] for i in long]), minlength=len(ids))
+            exact = may[counts[may] >= want[may]]
+        else:
+            probes = np.sort(s[long])
+            exact = [y for y in may if counts[y] + _overlap(probes, sets[y]) >= want[y]]
+        for y in exact:
+            if root[y] != root[x]:
                 join(x, y)
                 a, b = root[x], root[y]
                 root[root == max(a, b)] = min(a, b)
@@ -171,18 +180,19 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     full = signed.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = full.groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("class_id"))
     member = signed.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
-    first = full.groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "head")).alias("m"))
     overlap = f"(({percent} * n + 99) div 100)"  # the least overlap, which is also the smallest partner's size
     least = F.expr(f"{overlap} - (({percent} * {overlap} + 99) div 100) + 1")
-    heads = first.select(F.col("m.doc_id").alias("id"), F.col("m.head").alias("head"), least.alias("least"))
-    rows = heads.select("id", "least", F.explode("head").alias("token"))
+    # the other members of a class leave; their ids are few against the texts, and broadcast where that holds
+    others = full.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"]).where("doc_id <> class_id").select("doc_id").distinct()
+    heads = full.join(_small(others), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", "head", least.alias("least"))
+    rows = heads.select("id", "n", "least", F.explode("head").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     common = rows.join(shared, "token")
-    living = common.groupBy("id", "least").agg(
+    living = common.groupBy("id", "n", "least").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).where(F.size("tokens") >= F.col("least"))
     # A partner shares `least` of a class's shared hashes, so it shares one of those left after the `least` - 1
     # most frequent ones. Hashes that no other class has come first in that order and are left out already.
-    living = cut(living.select("id", F.expr(
+    living = cut(living.select("id", "n", "least", F.sort_array(F.col("tokens.token")).alias("shared"), F.expr(
         "slice(tokens, 1, size(tokens) - cast(least as int) + 1)").getField("token").alias("short")))
     lists = living.select("id", F.explode("short").alias("token"))
     seen = lists.groupBy("token").agg(
@@ -190,27 +200,26 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
         F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x2")).where("m > 1")
     # lists with the same classes are searched once
     once = seen.groupBy("m", "x1", "x2").agg(F.min("token").alias("token")).select("token", "m")
-    met = lists.join(once, "token")
-    return _finish(docs, member, met, k, percent)
-
-
-def _finish(docs: DataFrame, member: DataFrame, met: DataFrame, k: int, percent: int) -> DataFrame:
-    # long lists are dealt into blocks by a hash of the class; every pair of blocks is one unit of work
-    blocks = F.expr(f"cast((m + {BLOCK - 1}) div {BLOCK} as int)")
-    placed = met.select("id", "token", blocks.alias("b"), F.expr(
-        f"cast(pmod(xxhash64(id), (m + {BLOCK - 1}) div {BLOCK}) as int)").alias("own"))
-    units = placed.select("id", "token", "own", F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("other")).select(
-        "id", F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
-        (F.col("own") <= F.col("other")).alias("query"), (F.col("own") >= F.col("other")).alias("indexed"))
+    met = cut(lists.join(once, "token"))
+    # first on the shared hashes alone: pairs with too few of them cannot link
+    sent = _blocks(met).join(living.select("id", "n", "least", "shared"), "id").select(
+        "unit", "id", "query", "indexed", "n", "least", F.col("shared").alias("hashes"))
+    groups = components(_searched(sent, percent, whole=False))
+    # classes that such pairs connect are one candidate group; a group of bounded size is one unit of work
+    members = groups.join(living.select("id", "n"), "id")
+    sizes = members.groupBy("component").agg(F.count("*").alias("classes"), F.sum("n").alias("shingles"))
+    bounded = (F.col("classes") <= GROUP_CLASSES) & (F.col("shingles") <= GROUP_SHINGLES)
+    members = cut(members.join(sizes, "component").select("id", "component", bounded.alias("bounded")))
+    units = members.where("bounded").select(
+        "id", F.xxhash64("component").alias("unit"), F.lit(True).alias("query"), F.lit(True).alias("indexed"))
+    # larger groups go list by list
+    units = units.unionByName(_blocks(met.join(members.where("not bounded").select("id"), "id", "left_semi")))
     wanted = cut(units.groupBy("id").agg(F.collect_list(F.struct("unit", "query", "indexed")).alias("units")))
-    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    if wanted.count() <= BROADCAST_IDS:
-        source = source.join(F.broadcast(wanted.select("id")), "id", "left_semi")
+    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(_small(wanted.select("id")), "id", "left_semi")
     sent = source.join(wanted, "id").mapInArrow(
-        lambda batches: _send(batches, k), "unit long, id long, query boolean, indexed boolean, shingles array<long>")
-    links = (sent.repartition(F.col("unit")).sortWithinPartitions("unit", "id")
-             .mapInArrow(lambda batches: _search(batches, percent), "a long, b long"))
-    found = components(links)
+        lambda batches: _send(batches, k, percent),
+        "unit long, id long, query boolean, indexed boolean, n long, least long, hashes array<long>")
+    found = components(_searched(sent, percent, whole=True))
     linked = member.join(found, member.class_id == found.id, "left")
     known = F.col("doc_id").isNotNull()
     return linked.select("doc_id", F.col("n").alias("n_shingles"),
@@ -218,18 +227,39 @@ def _finish(docs: DataFrame, member: DataFrame, met: DataFrame, k: int, percent:
                          F.when(known, F.coalesce("component", "class_id", "doc_id")).alias("component_id"))
 
 
-def _send(batches, k: int):
-    """A row for each unit of a class; rows of one id with other texts are told apart by their receivers."""
+def _small(ids: DataFrame) -> DataFrame:
+    """Ids to be broadcast if a count shows that they are few; otherwise they join by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _blocks(met: DataFrame) -> DataFrame:
+    """unit, id, query, indexed: lists dealt into blocks by a hash of the class; every pair of blocks is one unit of work."""
+    blocks = f"(m + {BLOCK - 1}) div {BLOCK}"
+    placed = met.select("id", "token", F.expr(f"cast({blocks} as int)").alias("b"),
+                        F.expr(f"cast(pmod(xxhash64(id), {blocks}) as int)").alias("own"))
+    pairs = placed.select("id", "token", "own", F.explode(F.sequence(F.lit(0), F.col("b") - 1)).alias("other"))
+    return pairs.select("id", F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
+                        (F.col("own") <= F.col("other")).alias("query"), (F.col("own") >= F.col("other")).alias("indexed"))
+
+
+def _searched(sent: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """a, b: spanning links of each unit; on whole sets by similarity, otherwise by the shared hashes that links need."""
+    return sent.repartition(F.col("unit")).sortWithinPartitions("unit", "id").mapInArrow(
+        lambda batches: _search(batches, percent, whole), "a long, b long")
+
+
+def _send(batches, k: int, percent: int):
+    """A row for each unit of a class, with its whole set."""
     for batch in batches:
-        ids = batch.column(batch.schema.get_field_index("id")).to_pylist()
-        units = batch.column(batch.schema.get_field_index("units")).to_pylist()
+        name = batch.schema.get_field_index
+        ids, units = batch.column(name("id")).to_pylist(), batch.column(name("units")).to_pylist()
         out: list[tuple] = []
         held = 0
-        for d, s in _sets(batch.column(batch.schema.get_field_index("text")), k):
+        for d, s in _sets(batch.column(name("text")), k):
             for u in units[d]:
-                out.append((u["unit"], ids[d], u["query"], u["indexed"], s))
+                out.append((u["unit"], ids[d], u["query"], u["indexed"], len(s), least_overlap(len(s), percent), s))
                 held += len(s)
-            if held > 1 << 20:
+            if held > 1 << 18:
                 yield _sent(out)
                 out, held = [], 0
         if out:
@@ -237,40 +267,47 @@ def _send(batches, k: int):
 
 
 def _sent(out: list[tuple]) -> pa.RecordBatch:
-    ends = np.concatenate([[0], np.cumsum([len(x[4]) for x in out])]).astype(np.int32)
+    ends = np.concatenate([[0], np.cumsum([len(x[6]) for x in out])]).astype(np.int32)
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()),
-         pa.array([x[2] for x in out], pa.bool_()), pa.array([x[3] for x in out], pa.bool_()),
-         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x[4] for x in out])))],
-        ["unit", "id", "query", "indexed", "shingles"])
+        [*[pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)],
+         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([x[6] for x in out])))],
+        ["unit", "id", "query", "indexed", "n", "least", "hashes"])
 
 
-def _search(batches, percent: int):
-    """Search each unit; a unit holds two blocks at most, and units come one after another."""
+def _search(batches, percent: int, whole: bool):
+    """Search each unit; units come one after another, and one at a time is held."""
     unit, held = None, []
     for batch in batches:
         keys = batch.column(0).to_numpy()
-        ids, query, indexed = (batch.column(i).to_pylist() for i in (1, 2, 3))
-        offsets, values = batch.column(4).offsets.to_numpy(), batch.column(4).values.to_numpy()
+        ids, query, indexed, n, least = (batch.column(i).to_pylist() for i in range(1, 6))
+        offsets, values = batch.column(6).offsets.to_numpy(), batch.column(6).values.to_numpy()
         found: list[tuple[int, int]] = []
         for i, key in enumerate(keys):
             if key != unit:
-                found += _search_unit(held, percent)
+                found += _search_unit(held, percent, whole)
                 unit, held = key, []
-            held.append((ids[i], query[i], indexed[i], values[offsets[i]: offsets[i + 1]].copy()))
+            held.append((ids[i], query[i], indexed[i], n[i], least[i], values[offsets[i]: offsets[i + 1]].copy()))
         if found:
             yield _pairs(found)
-    if found := _search_unit(held, percent):
+    if found := _search_unit(held, percent, whole):
         yield _pairs(found)
 
 
-def _search_unit(held: list[tuple], percent: int) -> list[tuple[int, int]]:
-    held = [h for h in held if len(h[3])]
+def _search_unit(held: list[tuple], percent: int, whole: bool) -> list[tuple[int, int]]:
+    held = [h for h in held if len(h[5])]
     if len(held) < 2:
         return []
-    return search_block([h[0] for h in held], [h[3] for h in held],
-                        np.array([i for i, h in enumerate(held) if h[1]], np.int64),
-                        np.array([i for i, h in enumerate(held) if h[2]], np.int64), percent)
+    n, least = (np.array([h[i] for h in held]) for i in (3, 4))
+    spare = n - least_overlap(n, percent) + 1
+
+    def needed(x: int) -> np.ndarray:
+        if whole:  # 100 o >= p (|x| + |y| - o), solved for the overlap o
+            return -((-percent * (n[x] + n)) // (100 + percent))
+        return np.minimum(spare[x], spare)
+
+    where = [np.array([i for i, h in enumerate(held) if h[side]], np.int64) for side in (1, 2)]
+    return search_block([h[0] for h in held], [h[5] for h in held], *where, least, needed)
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -289,12 +326,9 @@ def without_copies(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     gone = joined.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
     again = joined.where("component_id = doc_id and n > 1").select(F.col("doc_id").alias("__again"))
 
-    def small(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-    left = docs.join(small(gone), docs.doc_id.cast("long") == F.col("__gone"), "left_anti")
+    left = docs.join(_small(gone), docs.doc_id.cast("long") == F.col("__gone"), "left_anti")
     if again.take(1):
-        repeats = small(again)
+        repeats = _small(again)
         same = docs.doc_id.cast("long") == F.col("__again")
         left = left.join(repeats, same, "left_anti").unionByName(
             left.join(repeats, same, "left_semi").dropDuplicates(["doc_id"]))
