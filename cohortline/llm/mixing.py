@@ -102,7 +102,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each document's row once per copy, with `copy` counting from 1."""
-    columns = [c for c in docs.columns if c not in ("doc_id", "source")]
-    rows = mix(docs, carry=tuple(columns), **options).where("copies > 0")
-    return rows.select(*docs.columns, "size", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    """The mix itself: each document's row once per copy, with its `size` and `copy` counting from 1.
+
+    Columns of docs named size or copy are replaced; others are carried unread, whatever their names.
+    """
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("size", "copy")]
+    rows = mix(docs.select("doc_id", "source", "text", F.struct(*kept).alias("row")), carry=("row",), **options)
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return rows.where("copies > 0").select("row.*", "size", copies)
