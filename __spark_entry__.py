@@ -36,6 +36,7 @@ from cohortline.operators import (  # noqa: E402
 from cohortline.plans import users as user_plans  # noqa: E402
 from cohortline.sources import stand_in as s  # noqa: E402
 from cohortline.sources.stand_in import StandIn  # noqa: E402
+from cohortline.streaming.rollup import minute_rollup  # noqa: E402
 
 try:
     import cohortline.llm.queries as corpus
@@ -73,8 +74,8 @@ def _registrations(v: StandIn) -> DataFrame:
 
 
 def _visits(v: StandIn, build: Callable) -> DataFrame:
-    views = v.page_views()
-    return build(views, at.first_touch_by_device(views), s.LANDING_PATHS, s.EVENT_START, s.EVENT_AS_OF, s.OWN)
+    views = v.page_views().where(F.col("project_id") == s.TENANT)
+    return build(views, at.first_touch_by_device(user_plans.touches(v)), s.LANDING_PATHS, s.EVENT_START, s.EVENT_AS_OF, s.OWN)
 
 
 def _log(v: StandIn) -> DataFrame:
@@ -131,15 +132,19 @@ def _usage_digest(v: StandIn) -> DataFrame:
     days = usage.daily_usage(v.assets(), v.size_history(), s.ASSET_AS_OF)
     sums = ("total_db", "qualified_db", "qualified_gb", "qualified_db_deleted", "qualified_db_new")
     return days.groupBy("as_of_date", "db_billing_identity", "user_classification").agg(
-        F.count("*").alias("users"), *[F.sum(c).alias(c) for c in sums], F.count("qualified_db").alias("users_qualified")
+        F.count("*").alias("users"), *[F.sum(c).alias(c) for c in sums], F.count("qualified_db").alias("users_qualified"),
+        F.sum("userkey").alias("userkeys"), F.sum(F.col("userkey") * F.col("total_db")).alias("userkey_dbs"),
+        F.sum(F.col("userkey") * F.length("account_id")).alias("userkey_accounts"),
     )
 
 
 def _querying_digest(v: StandIn) -> DataFrame:
     queries = cohorts.daily_queries(v.assets(), v.asset_minutes())
     active = cohorts.active_and_querying(v.assets(), queries, s.ASSET_START, s.ASSET_AS_OF)
+    key = F.regexp_extract("email", "^u([0-9]+)@", 1).cast("long")
     return active.groupBy("calendar_dt").agg(
-        F.count("*").alias("emails"), F.sum("active_user_yn").alias("active_users")
+        F.count("*").alias("emails"), F.sum("active_user_yn").alias("active_users"), F.sum(key).alias("keys"),
+        F.sum(key * F.col("active_user_yn")).alias("active_keys"),
     )
 
 
@@ -231,12 +236,13 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
     "daily_interactions": _daily,
     "funnel_flags": lambda v: ev.funnel_flags(_daily(v)),
     "funnel_report": lambda v: ev.funnel_report(
-        ev.funnel_flags(_daily(v)), ev.excluded_ids(ids.email_pairs(v.event_log()), s.INTERNAL_DOMAINS)
+        ev.funnel_flags(_daily(v)), ev.excluded_ids(ids.seen_pairs(v.event_log(), "email_address"), s.INTERNAL_DOMAINS)
     ),
     "event_pivot": lambda v: ev.event_pivot(v.nested_events(), ev.pivot_spec()),
     "event_pivot_totals": lambda v: ev.pivot_totals(ev.event_pivot(v.nested_events(), ev.pivot_spec())),
-    "first_touch_by_email": lambda v: at.first_touch_by_email(v.page_views(), ids.email_pairs(v.event_log())),
-    "first_touch_by_device": lambda v: at.first_touch_by_device(v.page_views()),
+    "first_touch_by_email": lambda v: at.first_touch_by_email(user_plans.touches(v), ids.email_pairs(v.event_log())),
+    "first_touch_by_device": lambda v: at.first_touch_by_device(user_plans.touches(v)),
+    "touch_events": lambda v: at.touch_events([v.page_views(), v.navigation()], s.TENANT, distinct=True),
     "first_touch_channel": _first_channels,
     "last_touch_channel": _last_channels,
     "page_visitors": lambda v: _visits(v, at.visitors),
@@ -245,7 +251,7 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
         _visits(v, at.daily_visitors), at.registrations_by_id(v.registrants(), ids.email_pairs(v.event_log()))
     ),
     "registrations_by_day": _registrations,
-    "registrant_step": lambda v: reg.registrant_step(_registrations(v), _daily(v), ids.identity_map(v.event_log())),
+    "registrant_step": lambda v: reg.registrant_step(_registrations(v), _daily(v), ids.pair_weights(v.event_log())),
     "registrant_funnel": lambda v: reg.registrant_funnel(
         _registrations(v), ev.funnel_flags(_daily(v)), ids.email_pairs(v.event_log())
     ),
@@ -261,6 +267,9 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
     "period_end_months": lambda v: calendar.period_ends_over(v.assets(), "db_created_at", s.ASSET_AS_OF, "month"),
     "daily_live_assets": _live_digest,
     "size_as_of_closed": lambda v: lifetimes.size_as_of(v.billing_hours(), v.size_history(), "hour_of_day"),
+    "size_as_of_long": lambda v: lifetimes.size_as_of(
+        v.billing_hours(), v.size_history(), "hour_of_day", long_histories=True
+    ),
     "size_as_of_open": _edges,
     "tenure_range": lambda v: lifetimes.tenure_range(
         v.assets().withColumn("account_id", lifetimes.account_id()), ["email", "userkey", "account_id", "user_classification"]
@@ -318,6 +327,7 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
     "submission": _submissions,
     "daily_log": _one_day,
     "minute_stats": lambda v: ql.minute_stats(_log(v)),
+    "minute_rollup": lambda v: minute_rollup(_log(v)).drop("approx_named_users"),
     "agent_minutes_start": lambda v: ql.agent_minutes(_log(v), "start"),
     "agent_minutes_commit": lambda v: ql.agent_minutes(_log(v), "commit"),
 }

@@ -34,6 +34,23 @@ class OwnSites:
     oauth_host: str | None = "accounts.google.com"
 
 
+def touch_events(
+    sources: Sequence[DataFrame], tenant: str, times: Sequence[str] = ("time", "mp_processing_time_ms"),
+    attributes: Sequence[str] = PROFILE, distinct: bool = False,
+) -> DataFrame:
+    """One tenant's visits from several event tables (page views, navigation), with what first touches read.
+
+    ``distinct`` drops repeated rows within each table. First touches do not
+    need it: a minimum is the same over repeated rows, and needs no shuffle of the facts.
+    """
+    parts = [f.where(F.col("project_id") == tenant).select("distinct_id", *times, *attributes) for f in sources]
+    parts = [p.distinct() if distinct else p for p in parts]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def first_touch(events: DataFrame, key: str, time: str, attributes: Sequence[str]) -> DataFrame:
     """All attributes of the earliest event per key, in one pass that combines before the shuffle.
 

@@ -65,16 +65,14 @@ def user_asset_summary_narrow(assets: DataFrame) -> DataFrame:
 def hourly_usage(billing_hours: DataFrame, assets: DataFrame) -> DataFrame:
     """Assets and gigabytes per user, tier and hour.
 
-    Hours are summed per asset first, so a hot asset meets the join as one row per hour.
+    The facts have a row per asset and hour, so they join as they are (AQE splits
+    a hot asset) and are summed once, before the shuffle and after it.
     """
-    per_asset = billing_hours.groupBy("dbid", "hour_of_day").agg(
-        F.count("dbid").alias("n"), F.sum(numbers.exact(F.col("memory_gb"))).alias("gb")
-    )
     owner = assets.select("dbid", "userkey", "db_billing_identity")
     return (
-        per_asset.join(owner, "dbid")
+        billing_hours.select("dbid", "hour_of_day", "memory_gb").join(owner, "dbid")
         .groupBy("userkey", "db_billing_identity", "hour_of_day")
-        .agg(F.sum("n").alias("db_count"), F.sum("gb").alias("memory_gb"))
+        .agg(F.count("*").alias("db_count"), F.sum(numbers.exact(F.col("memory_gb"))).alias("memory_gb"))
     )
 
 

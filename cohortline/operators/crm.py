@@ -33,16 +33,24 @@ def crm_contacts(contacts: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def crm_leads(leads: DataFrame) -> DataFrame:
-    """Leads per e-mail that have not become contacts."""
+    """Leads per e-mail that have not become contacts.
+
+    Leads without an e-mail share one row, whose lists are null: they would not end at any size.
+    """
+    known = F.col("email").isNotNull()
+
+    def texts(name: str):
+        return aggs.sorted_list(F.when(known, F.col(name)))
+
     return (
         leads.where(F.col("converted_contact_id").isNull())
         .groupBy("email")
         .agg(
             F.first(F.lit("Lead")).alias("crm_type"),
             F.max("name").alias("name"),
-            aggs.sorted_list(F.col("id")).alias("lead_id_list"),
-            aggs.sorted_list(F.col("industry")).alias("industry_list"),
-            aggs.sorted_list(F.col("title")).alias("titles_list"),
+            texts("id").alias("lead_id_list"),
+            texts("industry").alias("industry_list"),
+            texts("title").alias("titles_list"),
         )
     )
 

@@ -69,7 +69,7 @@ EVENT_SHAPES: Mapping[str, Shape] = {
     "take_snapshot_db": Shape(),
     "create_from_snapshot": Shape(),
     "change_language": Shape(_same("view", "language")),
-    "terms_accepted": Shape(_same("view")),
+    "terms_accepted": Shape(),
 }
 
 
@@ -117,7 +117,19 @@ class Counter:
         return hit & (c.isNotNull() if self.equals is None else c == self.equals)
 
 
-def interaction_spec(prefix: str = "", labels: tuple[str, str] = ("explorer", "browser")) -> tuple[Counter, ...]:
+@dataclass(frozen=True)
+class EventNames:
+    """Names and texts that differ between deployments beyond a prefix."""
+
+    terms: str = "terms_accepted"
+    check_step: str = "Ensure admin command"
+    run_step: str = "Run admin command"
+    landing: str = "NAVIGATE_TO_LANDING_PAGE"
+
+
+def interaction_spec(
+    prefix: str = "", labels: tuple[str, str] = ("explorer", "browser"), names: EventNames = EventNames()
+) -> tuple[Counter, ...]:
     """The daily counters. ``prefix`` goes before every event name; ``labels`` are the two opened apps."""
     explorer, console = labels
 
@@ -134,9 +146,9 @@ def interaction_spec(prefix: str = "", labels: tuple[str, str] = ("explorer", "b
         ev("db_created_cnt", "create_db"),
         ev("import_pageview_cnt", "navigate_to_import-instructions"),
         ev("import_db_select_cnt", "set_import_option", column="installtype"),
-        ev("import_ensure_admin_command_pageview_cnt", "next_step", column="step", equals="Ensure admin command"),
+        ev("import_ensure_admin_command_pageview_cnt", "next_step", column="step", equals=names.check_step),
         ev("import_ensure_admin_command_selection", "set_import_option", column="readytorunpushcommand"),
-        ev("import_run_admin_command_pageview_cnt", "next_step", column="step", equals="Run admin command"),
+        ev("import_run_admin_command_pageview_cnt", "next_step", column="step", equals=names.run_step),
         ev("import_complete_process_pageview_cnt", "next_step", column="step", equals="Complete the process"),
         ev("import_finish_instructions_cnt", "finish_import"),
         ev("change_language_pageview_cnt", "change_language"),
@@ -158,7 +170,7 @@ def interaction_spec(prefix: str = "", labels: tuple[str, str] = ("explorer", "b
         ev("take_snapshot_click_cnt", "take_snapshot_db"),
         ev("create_db_from_snapshot_cnt", "create_from_snapshot"),
         ev("console_dashboard_connect_cnt", "navigate_to_how-to-connect"),
-        ev("terms_accept_cnt", "terms_accepted"),
+        ev("terms_accept_cnt", names.terms),
     )
 
 
@@ -225,10 +237,11 @@ def without(frame: DataFrame, exclude: DataFrame, key: str) -> DataFrame:
     unless ``exclude`` is empty. Those two facts are a one-row subquery; the
     ids themselves are never gathered.
     """
-    blocked = exclude.agg(F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))).scalar()
-    present = exclude.agg(F.count("*")).scalar()
+    facts = exclude.agg(F.struct(
+        F.coalesce(F.max(F.col(key).isNull()), F.lit(False)).alias("has_null"), F.count("*").alias("n")
+    ).alias("facts")).scalar()
     keys = exclude.where(F.col(key).isNotNull()).select(key).distinct()
-    rows = frame.where(blocked == 0).where(F.col(key).isNotNull() | (present == 0))
+    rows = frame.where(~facts["has_null"] & (F.col(key).isNotNull() | (facts["n"] == 0)))
     return rows.join(keys, key, "left_anti")
 
 
@@ -246,7 +259,9 @@ def funnel_report(flags: DataFrame, exclude: DataFrame | None = None, steps: Seq
     )
 
 
-def pivot_spec(prefix: str = "", labels: tuple[str, str] = ("explorer", "browser")) -> tuple[Counter, ...]:
+def pivot_spec(
+    prefix: str = "", labels: tuple[str, str] = ("explorer", "browser"), names: EventNames = EventNames()
+) -> tuple[Counter, ...]:
     """Flags of the nested event log; event names are compared as they are, in upper case."""
     explorer, console = labels
 
@@ -254,7 +269,7 @@ def pivot_spec(prefix: str = "", labels: tuple[str, str] = ("explorer", "browser
         return Counter(name, (prefix + event,), "properties.event_label" if equals else None, equals)
 
     return (
-        ev("landing_pageview_yn", "NAVIGATE_TO_LANDING_PAGE"),
+        ev("landing_pageview_yn", names.landing),
         ev("signup_click_yn", "PAGE_SIGNUP_CLICK"),
         ev("console_pageview_yn", "NAVIGATE_TO_"),
         ev("login_yn", "LOGIN"),

@@ -38,3 +38,13 @@ def email_pairs(events: DataFrame) -> DataFrame:
 def email_weights(identity: DataFrame) -> DataFrame:
     """How many map rows each (id, e-mail) has, so a join fans out as a count instead of as rows."""
     return identity.groupBy("distinct_id", "email_address").agg(F.count("*").alias("weight"))
+
+
+def pair_weights(events: DataFrame) -> DataFrame:
+    """:func:`email_weights` of the ids with an e-mail, straight from the events: the map's product is never built."""
+    out = seen_pairs(events, "email_address").withColumn("weight", F.lit(1).cast("long"))
+    for attribute in ("user_id", "distinct_id_before_identity"):
+        seen = seen_pairs(events, attribute).groupBy("distinct_id").agg(F.count("*").alias("_n"))
+        out = out.join(seen, "distinct_id", "left").select(
+            "distinct_id", "email_address", (F.col("weight") * F.coalesce("_n", F.lit(1))).alias("weight"))
+    return out

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortline.functions import aggs, numbers, times
 
@@ -38,7 +38,13 @@ def end_or(as_of: datetime | str) -> Column:
 
 
 def live_span(assets: DataFrame, start: date | str, as_of: datetime | str, unit: str = "day") -> DataFrame:
-    """Adds ``first``/``last``: positions on which the asset is live between ``start`` and ``as_of``."""
+    """Adds ``first``/``last``: positions on which the asset is live between ``start`` and ``as_of``.
+
+    Assets gone before ``start`` leave. Where totals run on from here, as in
+    retention, ``start`` should be no later than the first asset's day: months
+    before it do not appear, so their creations are in no running total, while
+    later destructions of the same assets are.
+    """
     low, high = times.instant(start), times.instant(as_of)
     first = F.greatest(times.position(unit, F.col("db_created_at")), times.position(unit, low))
     last = F.least(times.position(unit, end_or(as_of)), times.position(unit, high))
@@ -134,6 +140,31 @@ def snapshot_assets(assets: DataFrame, as_of: datetime | str, tiers: Sequence[st
     )
 
 
+def overlapping_versions(history: DataFrame, key: str = "dbid") -> DataFrame:
+    """Size versions that begin before an earlier version of the same asset has ended; empty versions are left out.
+
+    The swept operators count an asset once whatever its versions, and sum the
+    sizes of all that apply; the joined ones repeat the asset per version. They
+    agree where this frame is empty, which plans check by :func:`check_versions`.
+    """
+    start, end = F.col("ts_effective_from"), F.col("ts_effective_thru")
+    before = Window.partitionBy(key).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        history.where(start < end)
+        .withColumn("_until", F.max(end).over(before))
+        .where(F.col("_until") > start)
+        .drop("_until")
+    )
+
+
+def check_versions(history: DataFrame, key: str = "dbid") -> DataFrame:
+    """The history, or an error naming an asset whose versions overlap."""
+    found = overlapping_versions(history, key).take(1)
+    if found:
+        raise ValueError(f"size versions of {key} {found[0][key]} overlap")
+    return history
+
+
 def version_span(history: DataFrame, unit: str, closed: bool) -> DataFrame:
     """Size versions as position spans; versions effective at no period end drop out here."""
     return history.select(

@@ -50,11 +50,14 @@ def _not_negative(c: Column) -> Column:
     return F.when(c < 0, F.lit(0)).otherwise(c)
 
 
-def extract_log(log: DataFrame, day: date | str | None = None, day_column: str | None = None) -> DataFrame:
+def extract_log(
+    log: DataFrame, day: date | str | None = None, day_column: str | None = None, version_field: str = "dbversion"
+) -> DataFrame:
     """One day of one log table in the common layout; rows without a query are dropped.
 
     ``day_column`` is the table's partition column when it has one; otherwise
     the timestamp is filtered, which still reaches the scan as a range.
+    ``version_field`` is what the payload calls the version of the database.
     """
     if day is not None:
         when = F.col(day_column) if day_column else F.to_date("timestamp")
@@ -62,7 +65,8 @@ def extract_log(log: DataFrame, day: date | str | None = None, day_column: str |
     p = "jsonPayload."
     return log.where(F.col(p + "query").isNotNull()).select(
         "timestamp", "severity",
-        *[F.col(p + c) for c in ("dbid", "dbversion", "username", "database", "event", "id")],
+        F.col(p + "dbid"), F.col(p + version_field).alias("dbversion"),
+        *[F.col(p + c) for c in ("username", "database", "event", "id")],
         *split_source(F.col(p + "source")),
         _not_negative(F.col(p + "allocatedbytes")).alias("allocatedbytes"),
         _not_negative(F.col(p + "elapsedtimems")).alias("elapsedtimems"),
@@ -72,11 +76,13 @@ def extract_log(log: DataFrame, day: date | str | None = None, day_column: str |
     )
 
 
-def extract_logs(sources: Sequence[DataFrame], day: date | str | None = None, day_column: str | None = None) -> DataFrame:
+def extract_logs(
+    sources: Sequence[DataFrame], day: date | str | None = None, day_column: str | None = None, version_field: str = "dbversion"
+) -> DataFrame:
     """The same day of several log tables as one."""
-    log = extract_log(sources[0], day, day_column)
+    log = extract_log(sources[0], day, day_column, version_field)
     for more in sources[1:]:
-        log = log.unionByName(extract_log(more, day, day_column))
+        log = log.unionByName(extract_log(more, day, day_column, version_field))
     return log
 
 
@@ -149,12 +155,10 @@ def on_day(log: DataFrame, day: date | str | None) -> DataFrame:
     return log if day is None else log.where(F.to_date("timestamp") == F.lit(str(day)).cast("date"))
 
 
-def minute_stats(log: DataFrame, day: date | str | None = None, fix_errors: bool = False) -> DataFrame:
-    """Query statistics per minute and asset.
+def log_measures(fix_errors: bool = False) -> dict[str, Column]:
+    """The additive measures of a structured log, by name.
 
-    Measures are first summed per user name, which spreads a hot asset and
-    turns the distinct user count into a plain count. ``completed_errors`` is
-    always 0 unless ``fix_errors``, which counts failed commits.
+    ``completed_errors`` is always 0 unless ``fix_errors``, which counts failed commits.
     """
     event, direct = F.col("event"), F.col("query_submission_type") == DIRECT_USE
     query, trace = F.lower("query"), F.col("stacktrace")
@@ -178,7 +182,16 @@ def minute_stats(log: DataFrame, day: date | str | None = None, fix_errors: bool
     for name, (word, anywhere) in STATEMENTS.items():
         found = query.contains(word) if anywhere else query.startswith(word) | query.contains(" " + word)
         measures[name] = aggs.count_where(started & direct & found)
+    return measures
 
+
+def minute_stats(log: DataFrame, day: date | str | None = None, fix_errors: bool = False) -> DataFrame:
+    """Query statistics per minute and asset: :func:`log_measures`, averages and users.
+
+    Measures are first summed per user name, which spreads a hot asset and
+    turns the distinct user count into a plain count.
+    """
+    measures = log_measures(fix_errors)
     per_user = on_day(log, day).groupBy(
         F.date_trunc("MINUTE", "timestamp").alias("minute"), "dbid", "username"
     ).agg(*[m.alias(n) for n, m in measures.items()])

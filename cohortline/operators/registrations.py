@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cohortline.functions import text
-from cohortline.operators import identity as ids
 
 # The steps of the registrant funnel.
 REGISTRANT_STEPS = (
@@ -42,13 +41,13 @@ def registrations_by_day(users: DataFrame, assets: DataFrame, internal_domains:
     )
 
 
-def registrant_step(registrations: DataFrame, daily: DataFrame, identity: DataFrame, count: str = "terms_accept_cnt") -> DataFrame:
+def registrant_step(registrations: DataFrame, daily: DataFrame, weights: DataFrame, count: str = "terms_accept_cnt") -> DataFrame:
     """Registrants and their count of one step on the registration day, newest day first.
 
     Each map row of the registrant repeats the registrant, as joining the map
-    would; the repeats are carried as weights.
+    would; the repeats are carried as weights (``identity.pair_weights`` of the
+    events, or ``identity.email_weights`` of a map that is there already).
     """
-    weights = ids.email_weights(identity)
     steps = (
         daily.select(F.col("calendar_dt").alias("user_create_dt"), "distinct_id", F.col(count).alias("_n"))
         .join(weights, "distinct_id")

@@ -26,5 +26,6 @@ def funnel(
     tables.replace(ids.identity_map(log), f"{out}/identity_map")
     tables.replace(ev.daily_interactions(log, spec or ev.interaction_spec()), f"{out}/daily_interactions")
     tables.replace(ev.funnel_flags(tables.scan(spark, f"{out}/daily_interactions")), f"{out}/funnel_flags")
-    exclude = ev.excluded_ids(tables.scan(spark, f"{out}/identity_map"), internal_domains)
+    # Ids without an e-mail are never excluded, so the pairs are enough.
+    exclude = ev.excluded_ids(ids.seen_pairs(log, "email_address"), internal_domains)
     return ev.funnel_report(tables.scan(spark, f"{out}/funnel_flags"), exclude)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from cohortline.operators import querylog as ql
 from cohortline.sources import tables
@@ -24,18 +24,17 @@ def summaries(log: DataFrame, fix_errors: bool = False) -> dict[str, DataFrame]:
 
 def run_day(
     sources: Sequence[DataFrame], day: date | str, out: str, rules: ql.ClientRules = ql.ClientRules(),
-    day_column: str | None = None,
+    day_column: str | None = None, version_field: str = "dbversion",
 ) -> None:
     """Write the day's structured log and its summaries under ``out``.
 
     The parse is written before it is summarised three times: it is computed
     once, and a lost executor costs a re-read instead of a re-parse. A second
-    run of the same day replaces the first.
+    run of the same day replaces the first, also when the day now has no rows.
     """
     spark = sources[0].sparkSession
-    stamp = F.lit(str(day)).cast("date").alias(tables.DAY)
-    parsed = ql.structured_log(ql.extract_logs(sources, day, day_column), rules)
-    tables.put_days(parsed.select("*", stamp), f"{out}/structured_log")
-    log = tables.scan_day(spark, f"{out}/structured_log", day).drop(tables.DAY)
+    parsed = ql.structured_log(ql.extract_logs(sources, day, day_column, version_field), rules)
+    tables.put_day(parsed, f"{out}/structured_log", day)
+    log = spark.read.schema(parsed.schema).parquet(f"{out}/structured_log/{tables.DAY}={day}")
     for name, frame in summaries(log).items():
-        tables.put_days(frame.select("*", stamp), f"{out}/{name}")
+        tables.put_day(frame, f"{out}/{name}", day)

@@ -44,6 +44,10 @@ def milestone_parts(
     }
 
 
+def touches(v: s.StandIn) -> DataFrame:
+    return attribution.touch_events([v.page_views(), v.navigation()], s.TENANT)
+
+
 def stand_in_user_360(v: s.StandIn) -> DataFrame:
     """The wide user table over the stand-in views."""
     assets = v.assets()
@@ -55,7 +59,7 @@ def stand_in_user_360(v: s.StandIn) -> DataFrame:
         plans=crm.initial_plan(v.snapshots()).withColumn("userkey", F.col("userkey").cast("long")),
         summary=billing.user_asset_summary(assets, s.ASSET_AS_OF),
         billing=billing.billing_summary(billing.hourly_usage(v.billing_hours(), assets)),
-        touched=attribution.first_touch_by_email(v.page_views(), identity.email_pairs(v.event_log())),
+        touched=attribution.first_touch_by_email(touches(v), identity.email_pairs(v.event_log())),
         milestone_parts=milestone_parts(
             assets, v.asset_minutes(), v.agent_facts(), v.dump_uploads(), s.TOOL_AGENTS, s.NON_PROGRAMMATIC_AGENTS
         ),
@@ -77,7 +81,7 @@ def stand_in_user_360_narrow(v: s.StandIn) -> DataFrame:
 
     return user360.user_360_narrow(
         v.users_narrow(),
-        touched=attribution.first_touch_by_email(v.page_views(), identity.email_pairs(v.event_log())),
+        touched=attribution.first_touch_by_email(touches(v), identity.email_pairs(v.event_log())),
         summary=billing.user_asset_summary_narrow(assets),
         first_query=first("first_query", "imputed_net_user_queries"),
         first_load=first("first_load", "imputed_load_statements"),

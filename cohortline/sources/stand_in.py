@@ -15,7 +15,8 @@ from cohortline.operators.events import EVENT_SHAPES
 from cohortline.operators.querylog import ClientRules
 
 ASSET_AS_OF = "2001-09-01 00:00:00"
-ASSET_START = "1996-02-05"
+# The day of the first asset: a later start would leave out creations but not the destructions after it.
+ASSET_START = "1995-01-01"
 EVENT_AS_OF = "2024-02-01 00:00:00"
 EVENT_START = "2024-01-01"
 TENANT = "t1"
@@ -346,10 +347,17 @@ class StandIn:
         )
 
     def page_views(self) -> DataFrame:
+        return self._visits("event_type in ('view', 'click')")
+
+    def navigation(self) -> DataFrame:
+        """Moves inside the console: the other table that first touches are taken from."""
+        return self._visits("event_type in ('signup', 'purchase')").drop("pathname", "referrer", "referring_domain")
+
+    def _visits(self, kinds: str) -> DataFrame:
         eid, user, k = F.col("event_id"), F.col("user_id"), F.col("k")
         touch = (k + eid) % 24
         columns = ("initial_referrer", "initial_referring_domain", "utm_source", "utm_medium", "utm_campaign")
-        return self._events().where("event_type in ('view', 'click')").select(
+        return self._events().where(kinds).select(
             F.concat(F.lit("d"), user, F.lit("-"), eid % 3).alias("distinct_id"),
             F.concat(F.lit("v"), user).alias("device_id"),
             F.unix_seconds("ts").alias("time"), F.unix_millis("ts").alias("mp_processing_time_ms"),
@@ -359,7 +367,7 @@ class StandIn:
             *[pick([t[i] for t in TOUCHES], touch).alias(c) for i, c in enumerate(columns)],
             pick(("US", "DE", None), k % 3).alias("mp_country_code"),
             pick(("CA", "BE"), eid % 2).alias("region"),
-            F.lit(TENANT).alias("project_id"),
+            pick(("t1", "t1", "t1", "t2"), k % 4).alias("project_id"),
         )
 
     def registrants(self) -> DataFrame:

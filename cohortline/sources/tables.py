@@ -39,12 +39,21 @@ def create_if_absent(frame: DataFrame, path: str) -> None:
     frame.write.mode("ignore").parquet(path)
 
 
+def put_day(frame: DataFrame, path: str, day: date | str, day_column: str = DAY) -> None:
+    """Put one day in place of that day of a table partitioned by day.
+
+    ``frame`` has no day column. The day becomes exactly ``frame``: without rows
+    it is written as an empty day with its schema, and what a run before left is gone.
+    """
+    frame.write.mode("overwrite").parquet(f"{path}/{day_column}={day}")
+
+
 def put_days(frame: DataFrame, path: str, day_column: str = DAY) -> None:
     """Add whole days to a table partitioned by day.
 
     Days in ``frame`` replace the same days in the table and other days stay,
     so running a day twice does not count it twice. A day without any row in
-    ``frame`` is left as it was.
+    ``frame`` is left as it was; :func:`put_day` empties it.
     """
     (
         frame.write.option("partitionOverwriteMode", "dynamic")

@@ -4,37 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortline.functions import aggs, numbers
-from cohortline.operators.querylog import DIRECT_USE, RESOURCES
+from cohortline.functions import numbers
+from cohortline.operators.querylog import RESOURCES, log_measures
 
+STATES = ("submitted", "completed")
 
-def minute_rollup(log: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """The additive measures of the minute statistics, per closed minute and asset.
+
+def minute_rollup(log: DataFrame, late: str = "10 minutes", fix_errors: bool = False) -> DataFrame:
+    """Every additive measure of the minute statistics, per closed minute and asset.
 
     Append mode: a minute is emitted once, after the watermark passes its end;
-    rows later than ``late`` are dropped by the watermark. Distinct users are
-    listed, since exact distinct counts are not available on streams; state is
-    one row per open minute and asset. Works on a batch frame as well.
+    rows later than ``late`` are dropped by the watermark. State is one row of
+    fixed size per open minute and asset: distinct users are counted by a sketch
+    (``approx_named_users``), since a list of names has no bound. Works on a
+    batch frame as well.
     """
-    event, direct = F.col("event"), F.col("query_submission_type") == DIRECT_USE
-    measures = []
-    for state, hit in (("submitted", event == "start"), ("completed", event == "commit")):
-        measures += [
-            aggs.count_where(hit).alias(f"{state}_queries"),
-            aggs.count_where(hit & direct).alias(f"{state}_direct_queries"),
-            *[aggs.sum_where(hit, numbers.exact(F.col(c))).alias(f"_{state}_{r}") for r, c in RESOURCES.items()],
-        ]
+    measures = log_measures(fix_errors)
     stamped = log.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     rows = (
         stamped.withWatermark("timestamp", late)
         .groupBy(F.window("timestamp", "1 minute").alias("_w"), "dbid")
-        .agg(*measures, F.array_sort(F.collect_set("username")).alias("users"))
+        .agg(*[m.alias(n) for n, m in measures.items()], F.approx_count_distinct("username").alias("approx_named_users"))
     )
-    whole = [
-        numbers.to_int64(F.col(f"_{state}_{r}")).alias(f"{state}_{r}")
-        for state in ("submitted", "completed") for r in RESOURCES
-    ]
+    resources = {f"{state}_{r}" for state in STATES for r in RESOURCES}
+    renamed = {f"{state}_direct": f"{state}_direct_queries" for state in STATES}
     return rows.select(
-        F.col("_w.start").alias("minute"), "dbid", "submitted_queries", "submitted_direct_queries",
-        "completed_queries", "completed_direct_queries", *whole, "users",
+        F.col("_w.start").alias("minute"), "dbid",
+        *[(numbers.to_int64(F.col(n)) if n in resources else F.col(n)).alias(renamed.get(n, n)) for n in measures],
+        "approx_named_users",
     )

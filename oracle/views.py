@@ -118,15 +118,18 @@ FROM ev""",
 SELECT {pick(s.PIVOT_EVENTS, f'(k + event_id) % {len(s.PIVOT_EVENTS)}')} AS event, CAST(ts AS DATE) AS day,
        'd' || user_id || '-' || (event_id % 3) AS did, {pick(('browser', 'explorer', None), 'k % 3')} AS label
 FROM ev""",
-    "page_views": f"""
+    "visits": f"""
 SELECT 'd' || user_id || '-' || (event_id % 3) AS did, 'v' || user_id AS device, CAST(floor(epoch(ts)) AS BIGINT) AS secs,
        epoch_us(ts) // 1000 AS ms, {pick(s.PATHS, 'event_id % 3')} AS pathname, {pick(s.REFERRERS, '(k + event_id) % 24')} AS referrer,
        {pick(('a.example', 'b.example', None), 'k % 3')} AS referring_domain,
        {pick([t[0] for t in s.TOUCHES], '(k + event_id) % 24')} AS ir, {pick([t[1] for t in s.TOUCHES], '(k + event_id) % 24')} AS ird,
        {pick([t[2] for t in s.TOUCHES], '(k + event_id) % 24')} AS us, {pick([t[3] for t in s.TOUCHES], '(k + event_id) % 24')} AS um,
        {pick([t[4] for t in s.TOUCHES], '(k + event_id) % 24')} AS uc,
-       {pick(('US', 'DE', None), 'k % 3')} AS country, {pick(('CA', 'BE'), 'event_id % 2')} AS region
-FROM ev WHERE event_type IN ('view', 'click')""",
+       {pick(('US', 'DE', None), 'k % 3')} AS country, {pick(('CA', 'BE'), 'event_id % 2')} AS region,
+       {pick(('t1', 't1', 't1', 't2'), 'k % 4')} AS tenant, event_type
+FROM ev""",
+    "page_views": "SELECT * FROM visits WHERE event_type IN ('view', 'click')",
+    "navigation": "SELECT * FROM visits WHERE event_type IN ('signup', 'purchase')",
     "registrants": f"""
 SELECT user_id AS userkey, {email('user_id')} AS email, min(ts) AS created FROM events WHERE event_type = 'signup' GROUP BY user_id""",
     "registrant_assets": f"""

@@ -72,7 +72,7 @@ def test_registrant_step_repeats_per_map_row(spark):
     regs = spark.createDataFrame([(day, "x@e", 1, 0), (day, "z@e", 1, 0)], "user_create_dt date, email_address string, registrants long, db_creators long")
     daily = spark.createDataFrame([(day, "a", 2)], "calendar_dt date, distinct_id string, terms_accept_cnt long")
     mapping = spark.createDataFrame([("a", "U1", "x@e", None), ("a", "U2", "x@e", None)], LOG)
-    assert rows(reg.registrant_step(regs, daily, mapping)) == [(day, 3, 4)]
+    assert rows(reg.registrant_step(regs, daily, ids.email_weights(mapping))) == [(day, 3, 4)]
 
 
 def test_activation_timeline_one_row_per_label(spark):

@@ -5,7 +5,7 @@ from conftest import rows, same_rows
 from cohortline.operators import events as ev
 from cohortline.operators import identity as ids
 from cohortline.operators import querylog as ql
-from cohortline.operators import user360
+from cohortline.operators import crm, lifetimes, user360
 from cohortline.plans import events as event_plans
 from cohortline.plans import logs
 from cohortline.plans import users as user_plans
@@ -25,6 +25,41 @@ def test_running_a_day_twice_does_not_count_twice(spark, views, tmp_path):
     assert "PartitionFilters: [isnotnull(log_date" in plan
 
 
+@pytest.mark.parametrize("filled", [False, True])
+def test_a_day_without_rows_becomes_empty(spark, views, tmp_path, filled):
+    out, day = str(tmp_path / "logs"), "2024-01-15"
+    if filled:
+        logs.run_day(views.query_logs(), day, out, s.CLIENTS)
+        assert tables.scan_day(spark, f"{out}/minute_stats", day).count() > 0
+    logs.run_day([t.where("false") for t in views.query_logs()], day, out, s.CLIENTS)
+    for name in ("structured_log", *logs.SUMMARIES):
+        assert tables.scan_day(spark, f"{out}/{name}", day).count() == 0
+
+
+def test_foreign_event_names_are_counted(spark):
+    names = ev.EventNames(terms="t&c", check_step="check it", run_step="run it", landing="NAVIGATE_TO_PRODUCT_LANDING")
+    rows_ = [("X_t&c", None), ("x_next_step", "check it"), ("x_next_step", "run it")]
+    log = spark.createDataFrame(rows_, "event_name string, step string").selectExpr(
+        "*", "timestamp'2024-01-01' as event_ts", "'d' as distinct_id", "'' as event_label", "'' as installtype", "'' as readytorunpushcommand")
+    got = ev.daily_interactions(log, ev.interaction_spec("x_", names=names)).first()
+    assert (got.terms_accept_cnt, got.import_ensure_admin_command_pageview_cnt, got.import_run_admin_command_pageview_cnt) == (1, 1, 1)
+    assert ev.pivot_spec("X_", names=names)[0].events == ("X_NAVIGATE_TO_PRODUCT_LANDING",)
+
+
+def test_overlapping_versions_are_found(views):
+    history = views.size_history()
+    assert lifetimes.check_versions(history) is history
+    with pytest.raises(ValueError, match="overlap"):
+        lifetimes.check_versions(history.unionByName(history))
+
+
+def test_leads_without_email_have_no_lists(spark):
+    leads = spark.createDataFrame([("l1", "n", None, "i", "t", None), ("l2", "m", "a@b", "i", None, None)],
+                                  "id string, name string, email string, industry string, title string, converted_contact_id string")
+    got = {r.email: (r.name, r.lead_id_list) for r in crm.crm_leads(leads).collect()}
+    assert got == {None: ("n", None), "a@b": ("m", "l2")}
+
+
 def test_funnel_plan_equals_the_lazy_chain(views, tmp_path):
     spec = ev.interaction_spec()
     report = event_plans.funnel(views.event_tables(), str(tmp_path), s.INTERNAL_DOMAINS, s.TENANT, spec)

@@ -29,5 +29,6 @@ def test_stream_emits_closed_minutes_as_the_batch_does(spark, views, tmp_path):
 
 def test_rollup_agrees_with_the_minute_statistics(views):
     log = ql.structured_log(ql.extract_logs(views.query_logs()), s.CLIENTS)
-    columns = ["minute", "dbid", "submitted_queries", "completed_queries", "submitted_millis", "completed_memory_bytes"]
+    columns = ["minute", "dbid", "submitted_queries", "completed_queries", "submitted_millis", "completed_memory_bytes",
+               "stacktrace_lines", "error_message_characters", "imputed_match_lines", "total_submit_errors"]
     assert rows(minute_rollup(log), *columns) == rows(ql.minute_stats(log), *columns)
