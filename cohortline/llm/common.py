@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -25,9 +26,17 @@ _BASE = 0xD6E8FEB86659FD93
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's `spark.checkpoint.dir`; a folder of this process's own only where that is unset."""
+    """The folder of `spark.checkpoint.dir`, which the caller's cluster shares and clears.
+
+    A local session, as in tests, gets a folder of its own where none is set; it
+    goes when the process ends. On a cluster an unset folder is an error, since
+    executors could not see the driver's. What is written there is read by the
+    lazy results, so it stays until the caller has written those.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="cohortline-checkpoint-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)

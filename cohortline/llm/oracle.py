@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .licenses import BASE, NOTICES
 from .mixing import CHUNK, offset
 from .queries import SEED
 
@@ -133,7 +134,70 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_
 FROM doc_words d LEFT JOIN hit h ON h.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id
 """
 
+_TEMPLATES = ", ".join(
+    f"({i}, '{t.label}', {i < len(BASE)}, {t.exact}, '{t.text.replace(chr(39), chr(39) * 2)}')" for i, t in enumerate(BASE + NOTICES))
+
+OP11 = f"""
+WITH made(template, label, base, exact, w) AS (
+  SELECT template, label, base, exact, {_words('text', ALNUM)} FROM (VALUES {_TEMPLATES}) t(template, label, base, exact, text)),
+sized AS (SELECT *, least(3, len(w)) AS k FROM made),
+positions AS (
+  SELECT template, label, base, exact, k, len(w) - k + 1 AS grams, p - 1 AS place, array_to_string(w[p:p + k - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS p FROM sized)),
+texts AS (SELECT row_number() OVER () AS r, doc_id, {_words('text', ALNUM)} AS w FROM documents),
+rolled AS (
+  SELECT r, k, i - 1 AS i, array_to_string(w[i:i + k - 1], ' ') AS gram
+  FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM texts, (SELECT DISTINCT k FROM sized) WHERE len(w) >= k)),
+votes AS (
+  SELECT r, template, label, base, exact, p.k, grams, i - place AS diagonal, count(*) AS votes, min(i) AS start, max(i) + p.k AS stop
+  FROM rolled g JOIN positions p ON p.k = g.k AND p.gram = g.gram
+  GROUP BY r, template, label, base, exact, p.k, grams, i - place),
+strong AS (SELECT * FROM votes WHERE votes >= CASE WHEN exact THEN grams ELSE least(2, grams) END),
+parted AS (
+  SELECT *, CASE WHEN exact THEN 1 WHEN diagonal - lag(diagonal) OVER w <= 3 THEN 0 ELSE 1 END AS apart
+  FROM strong WINDOW w AS (PARTITION BY r, template ORDER BY diagonal)),
+numbered AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS cluster FROM parted),
+spans AS (
+  SELECT r, template, label, base, exact, k, grams, min(start) AS start, max(stop) - min(start) AS length, sum(votes) AS votes
+  FROM numbered GROUP BY r, template, label, base, exact, k, grams, cluster),
+kept AS (
+  SELECT *, least(votes, grams, length - k + 1)::DOUBLE / grams AS coverage FROM spans
+  WHERE least(votes, grams, length - k + 1)::DOUBLE / grams >= 0.5 AND length <= 2 * (grams + k - 1)),
+summed AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(coverage) AS score
+  FROM kept GROUP BY r)
+SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(s.n_base, 0)::BIGINT AS n_base, s.first_word::BIGINT AS first_word,
+  s.last_word::BIGINT AS last_word, coalesce(s.base_labels, '') AS base_labels, coalesce(s.labels, '') AS labels,
+  coalesce(s.score, 0.0)::DOUBLE AS score
+FROM texts t LEFT JOIN summed s ON s.r = t.r
+"""
+
+OP12 = f"""
+WITH doc_words AS (SELECT row_number() OVER () AS r, doc_id, {_words('text', ALNUM)} AS w FROM documents),
+lengths AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM doc_words WHERE len(w) > 0),
+totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS all_terms FROM lengths),
+items AS (SELECT DISTINCT item_id, {_words('text', ALNUM)} AS w FROM benchmark),
+asked AS (SELECT item_id, term, count(*)::BIGINT AS asked FROM (SELECT item_id, unnest(w) AS term FROM items) GROUP BY ALL),
+held AS (
+  SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM doc_words)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM held GROUP BY term), totals),
+scores AS (
+  SELECT a.item_id, h.r, l.doc_id,
+    sum(a.asked * x.w * ((1000000000 * h.tf) // (1000 * h.tf + 8 * (25 + (75 * l.n * t.n_docs) // t.all_terms))))::BIGINT AS score
+  FROM asked a JOIN held h ON h.term = a.term JOIN weights x ON x.term = a.term JOIN lengths l ON l.r = h.r, totals t
+  GROUP BY a.item_id, h.r, l.doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLE = {
     "op1_jaccard_join": OP1, "op2_embedding_dedup": OP2, "op4_mixing": OP4, "op5_chat_format": OP5,
     "op8_fixity_audit": OP8, "op10_decontaminate": OP10,
+    "op11_license_scan": OP11, "op12_ranked_search": OP12,
 }

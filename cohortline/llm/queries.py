@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, embeddings, fixity, jaccard, lm, mixing, quality, token_counts, toxicity
+from . import (
+    alignment, chat, decontaminate, embeddings, fixity, jaccard, licenses, lm, mixing, quality, search, token_counts, toxicity)
 
 SEED = 17
 
@@ -83,8 +84,24 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), 10).drop("longest")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.labelled(read(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), top=10)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.digests(alignment.aligned(
+        read(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")),
+        str(public_tokenizers.path("piece_bpe_32k.model"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_jaccard_join, op2_embedding_dedup, op3_token_counts, op4_mixing, op5_chat_format, op6_toxicity, op7_quality,
-        op8_fixity_audit, op9_lm_scores, op10_decontaminate)
+        op8_fixity_audit, op9_lm_scores, op10_decontaminate, op11_license_scan, op12_ranked_search, op13_token_alignment)
 }

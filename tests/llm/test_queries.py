@@ -68,7 +68,7 @@ def shingles(text, k):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name).group(1)) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_jaccard_join(spark, sf_dir):
