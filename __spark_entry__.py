@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,7 +35,7 @@ from cohortline.operators import (  # noqa: E402
     user360,
 )
 from cohortline.plans import users as user_plans  # noqa: E402
-from cohortline.sources import stand_in as s  # noqa: E402
+from cohortline.sources import stand_in as s, tables  # noqa: E402
 from cohortline.sources.stand_in import StandIn  # noqa: E402
 from cohortline.streaming.rollup import minute_rollup  # noqa: E402
 
@@ -174,6 +175,12 @@ def _milestone(v: StandIn, name: str) -> DataFrame:
                                       s.TOOL_AGENTS, s.NON_PROGRAMMATIC_AGENTS)[name]
 
 
+def _written_user_360(v: StandIn) -> DataFrame:
+    run = f"user_360_{uuid.uuid4().hex}"
+    out = f"{tables.shared_folder(v.spark)}/{run}"
+    return user_plans.write_user_360(v.user_tables(), v.user_rules(), out, run, buckets=8)
+
+
 def _gaps(v: StandIn) -> DataFrame:
     summary = billing.user_asset_summary(v.assets(), s.ASSET_AS_OF).select("userkey", "start_date")
     asked = _milestone(v, "first_query").select("userkey", "first_query")
@@ -319,6 +326,7 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
     "account_id": _accounts,
     "time_to_milestone": _gaps,
     "user_360": user_plans.stand_in_user_360,
+    "user_360_written": _written_user_360,
     "user_360_narrow": user_plans.stand_in_user_360_narrow,
     "extract_logs": lambda v: ql.extract_logs(v.query_logs()),
     "split_source": _sources,

@@ -57,6 +57,24 @@ def _touch_columns() -> list[Column]:
     ]
 
 
+def with_email_parts(
+    users: DataFrame, *, helpdesk: DataFrame, touched: DataFrame, leads: DataFrame, contacts: DataFrame
+) -> DataFrame:
+    """The users with every part that is keyed by e-mail."""
+    return (
+        users.withColumnRenamed("createdat", "user_created_at")
+        .join(helpdesk.select("email", F.col("id").alias("helpdesk_id"), F.col("tags").alias("helpdesk_tags")), "email", "left")
+        .join(touched, "email", "left")
+        .join(leads.select("email", F.struct("crm_type", "titles_list", "industry_list").alias("lead")), "email", "left")
+        .join(
+            contacts.select(
+                "email", "approx_annual_revenue", F.struct("crm_type", "titles_list", "industry_list").alias("contact")
+            ),
+            "email", "left",
+        )
+    )
+
+
 def user_360(
     users: DataFrame,
     *,
@@ -80,21 +98,28 @@ def user_360(
     the user list moves once per key; parts come out of aggregates already
     placed by their key. Sizes decide broadcasts, not hints.
     """
-    by_email = (
-        users.withColumnRenamed("createdat", "user_created_at")
-        .join(helpdesk.select("email", F.col("id").alias("helpdesk_id"), F.col("tags").alias("helpdesk_tags")), "email", "left")
-        .join(touched, "email", "left")
-        .join(leads.select("email", F.struct("crm_type", "titles_list", "industry_list").alias("lead")), "email", "left")
-        .join(
-            contacts.select(
-                "email", "approx_annual_revenue", F.struct("crm_type", "titles_list", "industry_list").alias("contact")
-            ),
-            "email", "left",
-        )
-    )
-    first_asset = assets.where("user_db_sequence = 1").select(
-        "userkey", *[F.col(c).alias(n) for c, n in FIRST_DB.items()]
+    return with_user_parts(
+        with_email_parts(users, helpdesk=helpdesk, touched=touched, leads=leads, contacts=contacts),
+        subjects=subjects, first_assets=assets.where("user_db_sequence = 1"), plans=plans, summary=summary, billing=billing,
+        milestone_parts=milestone_parts, live_days=live_days, mrr=mrr, own=own,
     )
+
+
+def with_user_parts(
+    by_email: DataFrame,
+    *,
+    subjects: DataFrame,
+    first_assets: DataFrame,
+    plans: DataFrame,
+    summary: DataFrame,
+    billing: DataFrame,
+    milestone_parts: dict[str, DataFrame],
+    live_days: DataFrame,
+    mrr: DataFrame,
+    own: OwnSites = OwnSites(),
+) -> DataFrame:
+    """The wide row: :func:`with_email_parts` with every part that is keyed by user."""
+    first_asset = first_assets.select("userkey", *[F.col(c).alias(n) for c, n in FIRST_DB.items()])
     rows = by_email
     for part in (
         subjects.select("userkey", "subject_id", "short_subject_id"),

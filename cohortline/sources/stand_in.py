@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from cohortline.operators.attribution import OwnSites
 from cohortline.operators.events import EVENT_SHAPES
 from cohortline.operators.querylog import ClientRules
+from cohortline.plans.users import UserRules, UserTables
 
 ASSET_AS_OF = "2001-09-01 00:00:00"
 # The day of the first asset: a later start would leave out creations but not the destructions after it.
@@ -290,6 +291,19 @@ class StandIn:
             F.concat(F.lit("s"), k % 100).alias("short_subject_id"),
         )
 
+    def user_tables(self) -> UserTables:
+        return UserTables(
+            users=self.users(), helpdesk=self.helpdesk(), subjects=self.subjects(), assets=self.assets(),
+            first_assets=self.first_assets(), size_history=self.size_history(), billing_hours=self.billing_hours(),
+            minute_stats=self.asset_minutes(), agent_minutes=self.agent_facts(), dump_uploads=self.dump_uploads(),
+            snapshots=self.snapshots(), touch_tables=(self.page_views(), self.navigation()), event_log=self.event_log(),
+            leads=self.leads(), contacts=self.contacts(), accounts=self.accounts(),
+        )
+
+    @staticmethod
+    def user_rules() -> UserRules:
+        return UserRules(ASSET_AS_OF, TENANT, TOOL_AGENTS, NON_PROGRAMMATIC_AGENTS, OWN)
+
     # Events
 
     def _events(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,6 +41,31 @@ def create_if_absent(frame: DataFrame, path: str) -> None:
     frame.write.mode("ignore").parquet(path)
 
 
+def put_bucketed(frame: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write in place of the table ``name`` at ``path``, one file per bucket of ``key``, and return the table.
+
+    Tables with the same number of buckets join by the key without a shuffle.
+    """
+    (
+        frame.repartition(buckets, key)
+        .write.format("parquet").mode("overwrite").option("path", path)
+        .bucketBy(buckets, key).sortBy(key)
+        .saveAsTable(name)
+    )
+    return frame.sparkSession.table(name)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share; a local session without one gets its own."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="cohortline-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
+
+
 def put_day(frame: DataFrame, path: str, day: date | str, day_column: str = DAY) -> None:
     """Put one day in place of that day of a table partitioned by day.
 
