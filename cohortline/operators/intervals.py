@@ -23,18 +23,16 @@ def piece(first: Column, last: Column, measures: dict[str, Column | int], names:
     return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"), *filled)
 
 
-def sweep(pieces: DataFrame, keys: Sequence[str], measures: Sequence[str], home: Sequence[str] | None = None) -> DataFrame:
-    """Runs ``(keys, first, last, totals)`` over which the sum of covering pieces is constant.
-
-    ``home`` is a subset of ``keys`` to place the summed edges by, so later
-    windows and aggregates on supersets of it need no further shuffle.
-    """
+def edge_sums(pieces: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """One row per key and position ``at`` where a piece begins or has ended, with the change of every measure."""
     up = F.struct(F.col("first").alias("at"), *[F.col(m) for m in measures])
     down = F.struct((F.col("last") + 1).alias("at"), *[(-F.col(m)).alias(m) for m in measures])
     edges = pieces.select(*keys, F.inline(F.array(up, down)))
-    turns = edges.groupBy(*keys, "at").agg(*[F.sum(m).alias(m) for m in measures])
-    if home:
-        turns = turns.repartition(*home)
+    return edges.groupBy(*keys, "at").agg(*[F.sum(m).alias(m) for m in measures])
+
+
+def runs(turns: DataFrame, keys: Sequence[str], measures: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Runs between the positions of :func:`edge_sums`, with the totals over them and the carried columns."""
     ordered = Window.partitionBy(*keys).orderBy("at")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return turns.select(
@@ -42,9 +40,20 @@ def sweep(pieces: DataFrame, keys: Sequence[str], measures: Sequence[str], home:
         F.col("at").alias("first"),
         (F.lead("at").over(ordered) - 1).alias("last"),
         *[F.sum(m).over(so_far).alias(m) for m in measures],
+        *carry,
     )
 
 
+def sweep(pieces: DataFrame, keys: Sequence[str], measures: Sequence[str], home: Sequence[str] | None = None) -> DataFrame:
+    """Runs ``(keys, first, last, totals)`` over which the sum of covering pieces is constant.
+
+    ``home`` is a subset of ``keys`` to place the summed edges by, so later
+    windows and aggregates on supersets of it need no further shuffle.
+    """
+    turns = edge_sums(pieces, keys, measures)
+    return runs(turns.repartition(*home) if home else turns, keys, measures)
+
+
 def expand(runs: DataFrame, name: str, keep: Sequence[str | Column]) -> DataFrame:
     """One row per position of each run."""
     return runs.where(F.col("first") <= F.col("last")).select(

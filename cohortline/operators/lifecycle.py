@@ -37,7 +37,7 @@ def tier_month_usage(
     live = lifetimes.snapshot_assets(assets, as_of, tiers)
     ranges = lifetimes.tenure_range(live, [*USER, "account_id"], groups)
     month, previous, following = (times.first_date("month", F.col(c)) for c in ("_m", "_previous", "_next"))
-    return _usage(live, ranges, history, as_of, groups).select(
+    return _usage(live, ranges, history, as_of, groups).where(F.col("tier_group").isNotNull()).select(
         times.period_end("month", F.col("_m")).alias("calculated_date"),
         month.alias("as_of_date"),
         *USER, "account_id", "tier_group", "tier_start_date", "tier_churn_date", "num_db", "num_gb", "num_mrr",
@@ -45,7 +45,14 @@ def tier_month_usage(
     )
 
 
-def _usage(live, ranges, history, as_of, groups) -> DataFrame:
+def _usage(live, ranges, history, as_of, groups, life: Column | None = None) -> DataFrame:
+    """Usage per user, account, tier group and month, placed by user.
+
+    The tenure ranges travel as tagged rows among the summed edges, so one
+    placement by user serves the sweep, the meeting of usage and ranges, and all
+    that follows. ``life`` gives a range's months; each of them is then a row
+    without tier group that holds the range as ``spine``.
+    """
     keys = [*USER, "account_id", "tier_group"]
 
     def tag(frame: DataFrame) -> DataFrame:
@@ -75,26 +82,39 @@ def _usage(live, ranges, history, as_of, groups) -> DataFrame:
             {"sized": 1, "micro_mb": F.col("micro_mb"), "cents": F.col("cents")}, MEASURES,
         )
     ])
-    runs = intervals.sweep(counted.unionByName(sizes), keys, MEASURES, home=USER)
+    turns = intervals.edge_sums(counted.unionByName(sizes), keys, MEASURES)
+    tenure = F.struct(*[c for c in ranges.columns if c not in USER])
+    tagged = turns.unionByName(ranges.select(*USER, tenure.alias("tenure")), allowMissingColumns=True).repartition(*USER)
+    every = F.collect_list("tenure").over(Window.partitionBy(*USER))
+    runs = intervals.runs(tagged.withColumn("tenures", every), keys, MEASURES, carry=("tenure", "tenures"))
+
+    # As in a join by user, rows without an e-mail or user meet no range.
+    whole = F.col("email").isNotNull() & F.col("userkey").isNotNull() & (F.col("present") > 0)
+    used = F.when(whole & (F.col("first") <= F.col("last")), F.sequence("first", "last"))
+    is_range = F.col("tenure").isNotNull()
+    months = runs.select(
+        *keys, "assets", "sized", "micro_mb", "cents", "tenure",
+        F.when(is_range, F.array("tenure")).otherwise(F.col("tenures")).alias("met"),
+        F.explode(used if life is None else F.when(is_range, life).otherwise(used)).alias("_m"),
+    )
 
     def of_group(suffix):
-        picks = [F.when(F.col("tier_group") == g, F.col(f"{g}_{suffix}")) for g in groups]
+        picks = [F.when(F.col("tier_group") == g, F.col(f"met.{g}_{suffix}")) for g in groups]
         return F.coalesce(*picks)
 
-    months = intervals.expand(runs.where("present > 0"), "_m", [*keys, "assets", "sized", "micro_mb", "cents"])
-    # A user with two accounts meets two ranges; equal ranges add up, as they would in the joined form.
-    joined = months.join(ranges.drop("account_id", "start_date", "churn_date"), list(USER)).select(
-        *keys, "_m", "assets", "sized", "micro_mb", "cents",
+    # A user with two accounts meets two ranges; equal ranges add up, as they would in a joined form.
+    joined = months.withColumn("met", F.explode("met")).select(
+        *keys, "_m", "assets", "sized", "micro_mb", "cents", F.col("tenure").alias("spine"),
         of_group("start_date").alias("tier_start_date"), of_group("churn_date").alias("tier_churn_date"),
     )
-    totals = joined.groupBy(*keys, "_m", "tier_start_date", "tier_churn_date").agg(
+    totals = joined.groupBy(*keys, "_m", "tier_start_date", "tier_churn_date", "spine").agg(
         *[F.sum(m).alias(m) for m in ("assets", "sized", "micro_mb", "cents")]
     )
     order = Window.partitionBy(*USER, "tier_group").orderBy("_m", "account_id", "tier_start_date", "tier_churn_date")
     has_size = F.col("sized") > 0
     free = F.col("tier_group").isin(*UNPRICED)
     return totals.select(
-        *keys, "_m", "tier_start_date", "tier_churn_date",
+        *keys, "_m", "tier_start_date", "tier_churn_date", "spine",
         F.when(F.col("assets") > 0, F.col("assets")).alias("num_db"),
         F.when(has_size, numbers.from_micros(F.col("micro_mb")) / 1024).alias("num_gb"),
         F.when(free, F.lit(0.0)).when(has_size, F.col("cents") / 100).alias("num_mrr"),
@@ -130,25 +150,24 @@ def lifecycle_status(
     tiers = sorted({t for ts in groups.values() for t in ts})
     live = lifetimes.snapshot_assets(assets, as_of, tiers)
     ranges = lifetimes.tenure_range(live, [*USER, "account_id"], groups)
-    usage = _usage(live, ranges, history, as_of, groups)
     now = F.lit(times.moment(as_of).date())
+    tenure = F.col("tenure")
+    first = times.month_index(tenure["start_date"])
+    last = F.least(
+        times.month_index(F.coalesce(tenure["churn_date"], now)), F.lit(times.last_closed_position("month", as_of))
+    )
+    life = F.when(first <= last, F.sequence(first, last))
+    usage = _usage(live, ranges, history, as_of, groups, life)
 
     # One list per tier group: a single entry unless the user has several accounts.
     entry = F.struct("account_id", "tier_start_date", "tier_churn_date", "num_db", "num_gb", "num_mrr", "_previous")
     by_month = usage.groupBy(*USER, "_m").agg(
-        *[F.collect_list(F.when(F.col("tier_group") == g, entry)).alias(f"_{g}") for g in groups]
-    )
-    last = F.least(
-        times.month_index(F.coalesce("churn_date", now)), F.lit(times.last_closed_position("month", as_of))
-    )
-    spine = (
-        ranges.withColumn("_last", last)
-        .withColumn("_first", times.month_index(F.col("start_date")))
-        .where("_first <= _last")
-        .select("*", F.explode(F.sequence("_first", "_last")).alias("_m"))
-        .withColumn("_day", F.date_sub(times.first_date("month", F.col("_m") + 1), 1))
+        F.collect_list("spine").alias("_spine"),
+        *[F.collect_list(F.when(F.col("tier_group") == g, entry)).alias(f"_{g}") for g in groups],
     )
-    rows = spine.join(by_month, [*USER, "_m"], "left")
+    rows = by_month.select(
+        *USER, "_m", *[f"_{g}" for g in groups], F.inline("_spine"),
+    ).withColumn("_day", F.date_sub(times.first_date("month", F.col("_m") + 1), 1))
     for g in groups:
         rows = rows.withColumn(f"_{g}", F.explode_outer(f"_{g}"))
     ties = [F.col(f"_{g}")["account_id"] for g in groups]

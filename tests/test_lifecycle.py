@@ -1,5 +1,7 @@
+import re
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, same_rows
@@ -188,3 +190,26 @@ def test_asset_summary_counts_repeated_rows_of_an_asset_once(spark):
     r = billing.user_asset_summary(a.unionByName(a), "2020-12-01").first()
     assert (r["total_db_count"], r["live_db_count"], r["channels"]) == (1, 2, "Free")
     assert r["churn_date"] is None and r["most_recently_live"] == t("2020-12-01 00:00:00")
+
+
+@pytest.mark.parametrize("build", ["lifecycle_status", "tier_month_usage"])
+def test_the_lifecycle_is_placed_by_user_once(views, build):
+    made = getattr(lifecycle, build)(views.assets(), views.size_history(), s.ASSET_AS_OF)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    by_user = [line for line in shuffles if re.search(r"hashpartitioning\(email#\d+, userkey#\d+L?, \d+\)", line)]
+    # Two by asset (unless broadcast), the edges, the ranges, and the one placement by user.
+    assert len(shuffles) <= 5 and len(by_user) == 1
+
+
+def test_assets_without_an_owner_have_a_life_without_usage(spark):
+    frame = spark.createDataFrame(
+        [(1, None, "a@e", "e", "External Private User", "Free", "2020-01-05 00:00:00", None),
+         (2, 2, "b@e", "e", "External Private User", "Free", "2020-01-05 00:00:00", None)],
+        "dbid long, userkey long, email string, email_domain string, user_classification string, db_billing_identity string, "
+        "db_created_at string, db_destroyed_at string",
+    ).withColumns({c: F.col(c).cast("timestamp") for c in ("db_created_at", "db_destroyed_at")})
+    history = spark.createDataFrame([], "dbid long, db_size double, ts_effective_from timestamp, ts_effective_thru timestamp")
+    got = lifecycle.lifecycle_status(frame, history, "2020-03-15 00:00:00").select("userkey", "as_of_date", "num_free_db").collect()
+    assert {(r.userkey, str(r.as_of_date), r.num_free_db) for r in got} == {
+        (None, "2020-01-01", 0), (None, "2020-02-01", 0), (2, "2020-01-01", 1), (2, "2020-02-01", 1)}
