@@ -1,6 +1,9 @@
 from datetime import datetime
 
-from conftest import rows
+from pyspark.sql import functions as F
+
+from conftest import rows, same_rows
+from cohortline.operators import lifetimes
 from cohortline.operators import retention as ret
 from cohortline.plans.retention import retention
 from cohortline.sources import stand_in as s
@@ -46,3 +49,37 @@ def test_assets_outside_the_calendar_are_left_out(spark):
 def test_older_rule_has_no_first_month(spark):
     parts = chain(spark, ("2020-01-10", "2020-01-12"))
     assert ret.active_months(parts["history"], first_month_rule=False).count() == 0
+
+
+def joined_log(assets, start, as_of):
+    """The log as a join of live months, created and destroyed counts."""
+    on = ["yr", "mnth", "email"]
+    months = lifetimes.live_span(assets, start, as_of, "month").select("email", F.explode(F.sequence("first", "last")).alias("m")).distinct()
+    months = months.select(F.floor(F.col("m") / 12).cast("int").alias("yr"), (F.col("m") % 12 + 1).alias("mnth"), "email")
+    return months.join(ret.create_counts(assets, start, as_of), on, "left").join(ret.destroy_counts(assets, start, as_of), on, "left")
+
+
+def test_one_stream_equals_the_joined_log(spark, views):
+    bad = [(1, "a", "2020-01-05", "2020-03-01"), (1, "a", "2020-01-05", "2020-03-01"), (1, "b", "2020-01-07", None),
+           (2, "a", "2020-03-09", "2020-03-02"), (None, "a", "2020-02-01", "2020-02-20"), (3, None, "2020-01-01", "2020-02-01"),
+           (4, "a", "2019-01-01", "2020-01-31"), (5, "a", "2020-02-03", "2021-05-01"), (6, "c", None, None), (7, "d", "2018-01-01", "2018-02-01")]
+    frame = spark.createDataFrame(bad, "dbid long, email string, c string, d string").select(
+        "dbid", "email", F.col("c").cast("timestamp").alias("db_created_at"), F.col("d").cast("timestamp").alias("db_destroyed_at"))
+    for assets, start, end in ((frame, "2019-12-15", "2020-04-10 00:00:00"), (views.assets(), s.ASSET_START, s.ASSET_AS_OF)):
+        same_rows(ret.create_destroy_log(assets, start, end), joined_log(assets, start, end))
+
+
+def test_the_history_takes_two_shuffles(views):
+    history = ret.cumulative_history(ret.create_destroy_log(views.assets(), s.ASSET_START, s.ASSET_AS_OF))
+    months = ret.retention_forward(ret.active_months(history))
+    for frame in (history, months):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+
+
+def test_an_email_with_half_of_all_assets_is_spread(spark):
+    i = F.col("id")
+    assets = spark.range(20000).select(
+        i.alias("dbid"), F.when(i % 2 == 0, "hot").otherwise(F.concat(F.lit("e"), i % 300)).alias("email"),
+        F.timestamp_seconds(1577836800 + i % 700 * 86400).alias("db_created_at"),
+        F.when(i % 3 == 0, F.timestamp_seconds(1577836800 + (i % 700 + 40) * 86400)).alias("db_destroyed_at"))
+    same_rows(ret.create_destroy_log(assets, "2020-01-01", "2021-12-01 00:00:00"), joined_log(assets, "2020-01-01", "2021-12-01 00:00:00"))
