@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from cohortline.functions import numbers, text  # noqa: E402
 from cohortline.operators import (  # noqa: E402
+    asof,
     attribution as at,
     billing,
     calendar,
@@ -149,10 +150,13 @@ def _querying_digest(v: StandIn) -> DataFrame:
     )
 
 
-def _edges(v: StandIn) -> DataFrame:
+def _moments(v: StandIn) -> DataFrame:
     born = v.assets().select("dbid", F.col("db_created_at").alias("at"))
-    later = born.select("dbid", (F.col("at") + F.expr("INTERVAL 30 DAYS")).alias("at"))
-    return lifetimes.size_as_of(born.unionByName(later), v.size_history(), "at", closed=False)
+    return born.unionByName(born.select("dbid", (F.col("at") + F.expr("INTERVAL 30 DAYS")).alias("at")))
+
+
+def _edges(v: StandIn) -> DataFrame:
+    return lifetimes.size_as_of(_moments(v), v.size_history(), "at", closed=False)
 
 
 def _history(v: StandIn) -> DataFrame:
@@ -278,6 +282,8 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
         v.billing_hours(), v.size_history(), "hour_of_day", long_histories=True
     ),
     "size_as_of_open": _edges,
+    "size_as_of_sorted": lambda v: asof.as_of(v.billing_hours(), v.size_history(), "hour_of_day"),
+    "size_as_of_sorted_open": lambda v: asof.as_of(_moments(v), v.size_history(), "at", closed=False),
     "tenure_range": lambda v: lifetimes.tenure_range(
         v.assets().withColumn("account_id", lifetimes.account_id()), ["email", "userkey", "account_id", "user_classification"]
     ),
