@@ -35,8 +35,8 @@ from cohortline.operators import (  # noqa: E402
     usage,
     user360,
 )
-from cohortline.plans import users as user_plans  # noqa: E402
-from cohortline.sources import stand_in as s, tables  # noqa: E402
+from cohortline.plans import logs, users as user_plans  # noqa: E402
+from cohortline.sources import commits, stand_in as s, tables  # noqa: E402
 from cohortline.sources.stand_in import StandIn  # noqa: E402
 from cohortline.streaming.rollup import minute_rollup  # noqa: E402
 
@@ -235,6 +235,14 @@ def _one_day(v: StandIn) -> DataFrame:
     return day.groupBy("dbid", "event").agg(F.count("*").alias("n"), F.sum(F.length("query")).alias("chars"))
 
 
+def _committed(v: StandIn) -> DataFrame:
+    """The minute statistics of two days, each run as one commit, the first twice."""
+    out = f"{tables.shared_folder(v.spark)}/logs_{uuid.uuid4().hex}"
+    for day in ("2024-01-14", "2024-01-15", "2024-01-14"):
+        logs.commit_day(v.query_logs(), day, out, s.CLIENTS)
+    return commits.read(v.spark, out, "minute_stats").drop(tables.DAY)
+
+
 def _retention_input(v: StandIn, build: Callable, **options) -> DataFrame:
     return build(v.assets(), s.ASSET_START, s.ASSET_AS_OF, **options)
 
@@ -341,7 +349,8 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
     "submission": _submissions,
     "daily_log": _one_day,
     "minute_stats": lambda v: ql.minute_stats(_log(v)),
-    "minute_rollup": lambda v: minute_rollup(_log(v)).drop("approx_named_users"),
+    "minute_rollup": lambda v: minute_rollup(_log(v)),
+    "committed_minute_stats": _committed,
     "agent_minutes_start": lambda v: ql.agent_minutes(_log(v), "start"),
     "agent_minutes_commit": lambda v: ql.agent_minutes(_log(v), "commit"),
 }

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from cohortline.operators import querylog as ql
-from cohortline.sources import tables
+from cohortline.sources import commits, tables
 
 SUMMARIES = ("minute_stats", "agent_submissions", "agent_completions")
 
@@ -38,3 +38,22 @@ def run_day(
     log = spark.read.schema(parsed.schema).parquet(f"{out}/structured_log/{tables.DAY}={day}")
     for name, frame in summaries(log).items():
         tables.put_day(frame, f"{out}/{name}", day)
+
+
+def commit_day(
+    sources: Sequence[DataFrame], day: date | str, out: str, rules: ql.ClientRules = ql.ClientRules(),
+    day_column: str | None = None, version_field: str = "dbversion", fix_errors: bool = False,
+) -> str:
+    """:func:`run_day` as one commit, read by ``commits.read``: readers see all four tables of a run or none.
+
+    A run that fails at any point leaves the day as the last published run made
+    it. A second run of a day replaces the first for readers, also when the day
+    now has no rows.
+    """
+    spark, run = sources[0].sparkSession, commits.new_run()
+    parsed = ql.structured_log(ql.extract_logs(sources, day, day_column, version_field), rules)
+    log = commits.put(parsed, out, "structured_log", day, run)
+    for name, frame in summaries(log, fix_errors).items():
+        commits.put(frame, out, name, day, run)
+    commits.publish(spark, out, day, run)
+    return run

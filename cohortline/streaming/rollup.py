@@ -11,25 +11,31 @@ STATES = ("submitted", "completed")
 
 
 def minute_rollup(log: DataFrame, late: str = "10 minutes", fix_errors: bool = False) -> DataFrame:
-    """Every additive measure of the minute statistics, per closed minute and asset.
+    """Every additive measure of the minute statistics and the exact number of users, per closed minute and asset.
 
-    Append mode: a minute is emitted once, after the watermark passes its end;
-    rows later than ``late`` are dropped by the watermark. State is one row of
-    fixed size per open minute and asset: distinct users are counted by a sketch
-    (``approx_named_users``), since a list of names has no bound. Works on a
-    batch frame as well.
+    Two stateful steps follow each other: measures are summed per minute, asset
+    and user, and when the watermark closes a minute its users are counted and
+    their measures summed per asset. Append mode: a minute is emitted once, after
+    the watermark passes its end; rows later than ``late`` are dropped by the
+    watermark. State is one row of fixed size per open minute, asset and user,
+    and a hot asset's state is spread over its users. Works on a batch frame as
+    well.
     """
     measures = log_measures(fix_errors)
     stamped = log.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    rows = (
+    per_user = (
         stamped.withWatermark("timestamp", late)
-        .groupBy(F.window("timestamp", "1 minute").alias("_w"), "dbid")
-        .agg(*[m.alias(n) for n, m in measures.items()], F.approx_count_distinct("username").alias("approx_named_users"))
+        .groupBy(F.window("timestamp", "1 minute").alias("_user_minute"), "dbid", "username")
+        .agg(*[m.alias(n) for n, m in measures.items()])
+    )
+    rows = (
+        per_user.groupBy(F.window(F.window_time("_user_minute"), "1 minute").alias("_w"), "dbid")
+        .agg(*[F.sum(n).alias(n) for n in measures], F.count("username").alias("named_users"))
     )
     resources = {f"{state}_{r}" for state in STATES for r in RESOURCES}
     renamed = {f"{state}_direct": f"{state}_direct_queries" for state in STATES}
     return rows.select(
         F.col("_w.start").alias("minute"), "dbid",
         *[(numbers.to_int64(F.col(n)) if n in resources else F.col(n)).alias(renamed.get(n, n)) for n in measures],
-        "approx_named_users",
+        "named_users",
     )
