@@ -123,6 +123,8 @@ def search_block(ids: list[int], sets: list[np.ndarray], queries: np.ndarray, in
         if linked.join(x, y):
             found.append((ids[x], ids[y]))
 
+    if not len(queries) or not len(indexed):
+        return found
     if len(ids) == 2:
         if _overlap(*sets) >= needed(0)[1]:
             join(0, 1)
