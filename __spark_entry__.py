@@ -35,7 +35,7 @@ from cohortline.operators import (  # noqa: E402
     usage,
     user360,
 )
-from cohortline.plans import logs, users as user_plans  # noqa: E402
+from cohortline.plans import logs, usage as usage_plans, users as user_plans  # noqa: E402
 from cohortline.sources import commits, stand_in as s, tables  # noqa: E402
 from cohortline.sources.stand_in import StandIn  # noqa: E402
 from cohortline.streaming.rollup import minute_rollup  # noqa: E402
@@ -131,7 +131,20 @@ def _live_digest(v: StandIn) -> DataFrame:
 
 
 def _usage_digest(v: StandIn) -> DataFrame:
-    days = usage.daily_usage(v.assets(), v.size_history(), s.ASSET_AS_OF)
+    return _digest_days(usage.daily_usage(v.assets(), v.size_history(), s.ASSET_AS_OF))
+
+
+def _written_usage(v: StandIn) -> DataFrame:
+    """A load, two daily runs, one of them twice, and a run of the remaining days."""
+    out = f"{tables.shared_folder(v.spark)}/usage_{uuid.uuid4().hex}"
+    # The stand-in knows ends of assets beyond ASSET_AS_OF, so the last run takes them in.
+    days = (None, "1997-03-01", "1997-03-02", "1997-03-03", "2003-12-31")
+    for after, through in [*zip(days, days[1:]), days[1:3]]:
+        usage_plans.run_days(v.assets(), v.size_history(), out, through, after)
+    return _digest_days(usage_plans.table(v.spark, out, s.ASSET_AS_OF))
+
+
+def _digest_days(days: DataFrame) -> DataFrame:
     sums = ("total_db", "qualified_db", "qualified_gb", "qualified_db_deleted", "qualified_db_new")
     return days.groupBy("as_of_date", "db_billing_identity", "user_classification").agg(
         F.count("*").alias("users"), *[F.sum(c).alias(c) for c in sums], F.count("qualified_db").alias("users_qualified"),
@@ -299,6 +312,7 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
         v.assets().withColumn("account_id", lifetimes.account_id()), ["email", "userkey", "account_id"], lifetimes.TIER_GROUPS
     ),
     "daily_usage": _usage_digest,
+    "daily_usage_written": _written_usage,
     "monthly_snapshot": lambda v: lifetimes.monthly_snapshot(v.assets(), v.size_history(), s.ASSET_AS_OF),
     "mrr": _prices,
     "tier_month_usage": lambda v: lifecycle.tier_month_usage(v.assets(), v.size_history(), s.ASSET_AS_OF),
