@@ -6,8 +6,11 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Sequence
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,7 @@ from .common import cut
 #: A space or line end between two other characters: both tokenizers begin a new token there (checked for the vocabulary).
 SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: Distinct pieces that a task remembers, and the longest of them in characters.
-KEPT_PIECES, KEPT_CHARS = 150_000, 64
+KEPT_PIECES, KEPT_CHARS = 500_000, 64
 #: Commonest id pairs whose counts are sent to every task (17 bytes each); the counts of all others are joined.
 SENT_PAIRS = 500_000
 #: Characters that are encoded and aligned together.
@@ -77,6 +80,7 @@ class Aligner:
             self.a_bytes[i] = bytes(table[c] for c in entry) if all(c in table for c in entry) else entry.encode()
         self.b_bytes = [self._piece(i) for i in range(self.b.vocab_size())]
         self.width = len(self.b_bytes)
+        self.a_names, self.b_names = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(self.width)]
         pieces = [self.b.id_to_piece(i) for i in range(self.width)]
         self.space = pieces.index("▁") if "▁" in pieces else -1
         self.divisible = not any(re.search("[^▁]▁|\n.|.\n", p) for p in pieces)
@@ -89,36 +93,49 @@ class Aligner:
         return piece.replace("▁", " ").encode()
 
     def forget(self) -> None:
+        """Start anew: a number for each piece, and by number the groups' text, sizes, and a run of distinct pairs."""
         self.known: dict[str, int] = {}
         self.texts: list[str] = []
-        self.sizes: list[tuple[int, int, int, int, int]] = []
-        self.pairs: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
+        self.sizes = [array("q") for _ in range(5)]
+        self.begins, self.pairs, self.times = array("q", [0]), array("q"), array("q")
 
     def _learn(self, piece: str, a: list[int], b: list[int]) -> None:
         """Tokens, groups, links, whether the bytes differ, the groups' text and the distinct pairs of one piece."""
         raw = piece.encode("utf-8", "surrogatepass")
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-            self.texts.append("")
-            self.sizes.append((0, 0, 0, 0, 1))
-            self.pairs.append(np.zeros(0, np.int64))
-            self.times.append(np.zeros(0, np.int64))
-            return
-        if len(a) == 1 or len(b) == 1:
-            groups = [(0, len(a), 0, len(b))]
+        text, links = [], []
+        same = b"".join(a_parts) == raw and b"".join(b_parts) == raw
+        if same:
+            if len(a) == 1 or len(b) == 1:
+                groups = [(0, len(a), 0, len(b))]
+            else:
+                groups = align([*accumulate(map(len, a_parts))], [*accumulate(map(len, b_parts))])
+            a_names, b_names, width = self.a_names, self.b_names, self.width
+            for i, j, k, m in groups:
+                if j - i == 1 and m - k == 1:
+                    text.append(f"{a_names[a[i]]}|{b_names[b[k]]}")
+                    links.append(a[i] * width + b[k])
+                else:
+                    text.append(f"{','.join([a_names[x] for x in a[i:j]])}|{','.join([b_names[y] for y in b[k:m]])}")
+                    links += [x * width + y for x in a[i:j] for y in b[k:m]]
+        self.texts.append(";".join(text))
+        own = (len(a), len(b), len(text), len(links), 0) if same else (0, 0, 0, 0, 1)
+        for column, n in zip(self.sizes, own):
+            column.append(n)
+        distinct = set(links)
+        if len(distinct) == len(links):
+            self.pairs.extend(links)
+            self.times.extend([1] * len(links))
         else:
-            groups = align(np.cumsum([len(x) for x in a_parts]).tolist(), np.cumsum([len(x) for x in b_parts]).tolist())
-        pairs = [x * self.width + y for i, j, k, m in groups for x in a[i:j] for y in b[k:m]]
-        self.texts.append(";".join(f"{','.join(map(str, a[i:j]))}|{','.join(map(str, b[k:m]))}" for i, j, k, m in groups))
-        self.sizes.append((len(a), len(b), len(groups), len(pairs), 0))
-        distinct, times = (np.array(pairs, np.int64), np.ones(1, np.int64)) if len(pairs) == 1 else np.unique(pairs, return_counts=True)
-        self.pairs.append(distinct)
-        self.times.append(times)
-
-    def numbers(self, pieces: list[str]) -> list[int]:
-        """A number for each piece, under which its results are kept; call :meth:`trim` between chunks."""
-        new = [p for p in dict.fromkeys(pieces) if p not in self.known]
+            times = Counter(links)
+            self.pairs.extend(times)
+            self.times.extend(times.values())
+        self.begins.append(len(self.pairs))
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece; new ones are encoded together. Call :meth:`trim` between chunks."""
+        known = self.known
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
         if new:
             # The second tokenizer puts a space before each text; it stands for the piece's own, or is taken off again.
             spaced = [p[0] == " " for p in new]
@@ -127,40 +144,52 @@ class Aligner:
             for piece, own, first, second in zip(new, spaced, firsts, seconds):
                 if not own and second and second[0] == self.space:
                     second = second[1:]
-                self.known[piece] = len(self.texts)
+                known[piece] = len(self.texts)
                 self._learn(piece, first.ids, second)
-        return [self.known[p] for p in pieces]
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
     def trim(self) -> None:
-        if len(self.known) > KEPT_PIECES:
+        """Forget all when there is much; else long pieces, whose numbers stay unused."""
+        if len(self.known) > KEPT_PIECES or len(self.pairs) > 8 * KEPT_PIECES:
             self.forget()
             return
-        for piece in [p for p in self.known if len(p) > KEPT_CHARS]:
-            at = self.known.pop(piece)
-            self.texts[at], self.pairs[at], self.times[at] = "", self.pairs[at][:0], self.times[at][:0]
+        for piece in self.long:
+            self.texts[self.known.pop(piece)] = ""
 
-    def texts_of(self, texts: list[str | None]) -> list[tuple]:
-        """(n_a, n_b, n_groups, n_links, digest, pairs, times) of each text."""
+    def columns(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """n_a, n_b, n_groups, n_links, the digests, and the ends, pairs and times of each text's distinct pairs."""
         split = [(SAFE.split(f" {t}") if self.divisible else [f" {t}"]) if t else [] for t in texts]
-        numbers = self.numbers([p for pieces in split for p in pieces])
-        out, at = [], 0
-        for pieces in split:
-            own = numbers[at: at + len(pieces)]
-            at += len(pieces)
-            n_a, n_b, n_groups, n_links, differ = (sum(x) for x in zip(*[self.sizes[k] for k in own])) if own else (0, 0, 0, 0, 1)
-            if differ:
-                out.append((0, 0, 0, 0, "", [], []))
-                continue
-            digest = hashlib.sha256(";".join([self.texts[k] for k in own]).encode()).hexdigest()
-            each, times = np.unique(own, return_counts=True)
-            parts = [self.pairs[k] for k in each]
-            keys = np.concatenate(parts)
-            counts = np.concatenate([self.times[k] for k in each]) * np.repeat(times, [len(p) for p in parts])
-            order = np.argsort(keys, kind="stable")
-            keys, counts = keys[order], counts[order]
-            starts = np.flatnonzero(np.diff(keys, prepend=-1))
-            out.append((n_a, n_b, n_groups, n_links, digest, keys[starts], np.add.reduceat(counts, starts)))
-        return out
+        flat = [p for pieces in split for p in pieces]
+        numbers = self.numbers(flat)
+        self.long = {p for p in flat if len(p) > KEPT_CHARS}
+        ends = np.cumsum([0, *map(len, split)])
+        sums = []
+        for column in self.sizes:
+            totals = np.append(0, np.cumsum(np.frombuffer(column, np.int64)[numbers] if len(numbers) else numbers))
+            sums.append(totals[ends[1:]] - totals[ends[:-1]])
+        whole = (sums[4] == 0) & (np.diff(ends) > 0)
+        sums = [np.where(whole, x, 0) for x in sums[:4]]
+        own, digests = numbers.tolist(), []
+        for begin, end, ok in zip(ends[:-1].tolist(), ends[1:].tolist(), whole.tolist()):
+            text = ";".join([self.texts[k] for k in own[begin:end]]) if ok else None
+            digests.append(hashlib.sha256(text.encode()).hexdigest() if ok else "")
+
+        text_of = np.repeat(np.arange(len(texts)), np.diff(ends))
+        kept = whole[text_of]
+        both, repeats = np.unique((text_of[kept] << 32) | numbers[kept], return_counts=True)
+        text_of, numbers = both >> 32, both & 0xFFFFFFFF
+        begins = np.frombuffer(self.begins, np.int64)
+        lengths = begins[numbers + 1] - begins[numbers]
+        cells = np.arange(lengths.sum()) + np.repeat(begins[numbers] - np.append(0, np.cumsum(lengths))[:-1], lengths)
+        pairs = np.frombuffer(self.pairs, np.int64)[cells] if len(cells) else cells
+        times = np.frombuffer(self.times, np.int64)[cells] * np.repeat(repeats, lengths) if len(cells) else cells
+        text_of = np.repeat(text_of, lengths)
+        order = np.lexsort((pairs, text_of))
+        text_of, pairs, times = text_of[order], pairs[order], times[order]
+        first = np.flatnonzero((np.diff(text_of, prepend=-1) != 0) | (np.diff(pairs, prepend=-1) != 0))
+        times = np.add.reduceat(times, first) if len(first) else times
+        counted = np.append(0, np.cumsum(np.bincount(text_of[first], minlength=len(texts))))
+        return sums, digests, counted, pairs[first], times
 
 
 def aligned(docs: DataFrame, a_json: str, b_model: str) -> DataFrame:
@@ -191,13 +220,13 @@ def aligned(docs: DataFrame, a_json: str, b_model: str) -> DataFrame:
                 while end < len(texts) and (end == begin or size < CHUNK):
                     size += len(texts[end] or "")
                     end += 1
-                rows = aligner.texts_of(texts[begin:end])
+                sums, digests, ends, pairs, times = aligner.columns(texts[begin:end])
                 aligner.trim()
-                columns = list(zip(*rows))
+                ends = pa.array(ends, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(n, n + end - begin)), batch.column(0).slice(begin, end - begin),
-                     *[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4]),
-                     pa.array(columns[5], pa.list_(pa.int64())), pa.array(columns[6], pa.list_(pa.int32()))],
+                     *[pa.array(x) for x in sums], pa.array(digests, pa.string()),
+                     pa.ListArray.from_arrays(ends, pa.array(pairs)), pa.ListArray.from_arrays(ends, pa.array(times, pa.int32()))],
                     ["doc", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
                 n += end - begin
                 begin = end
