@@ -28,6 +28,22 @@ def from_micros(c: Column) -> Column:
     return c.cast("double") / 1000000
 
 
+def whole_and_micros(c: Column) -> tuple[Column, Column]:
+    """A number as whole units and millionths, both longs, whose sums stay exact and never meet a wide decimal.
+
+    Values are taken to a millionth, as far as a double of their size resolves it.
+    """
+    whole = F.floor(c).cast("long")
+    return whole, F.round((c - whole) * 1000000).cast("long")
+
+
+def rounded_total(whole: Column, micros: Column) -> Column:
+    """The sum of both parts as a long, half away from zero."""
+    rest = F.pmod(micros, F.lit(1000000))
+    base = whole + ((micros - rest) / 1000000).cast("long")
+    return base + F.when(base >= 0, rest >= 500000).otherwise(rest > 500000).cast("long")
+
+
 def cents(c: Column) -> Column:
     """A two-place decimal amount in cents, as a long."""
     return (c * 100).cast("long")

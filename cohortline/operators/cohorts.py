@@ -171,20 +171,36 @@ def payment_span(assets: DataFrame, tier: str, internal_domains: Sequence[str])
 
     Only the two counts look at the tier; the dates span assets of all tiers.
     """
-    counts = assets.where(F.col("db_billing_identity") == tier).groupBy("email").agg(
-        F.countDistinct("db_created_at").alias("db_create_dts"),
-        F.countDistinct("db_destroyed_at").alias("db_destroy_dts"),
-    )
-    spans = (
-        assets.where(~F.col("email_domain").isin(*internal_domains))
-        .groupBy("email")
-        .agg(
-            F.to_date(F.min("db_created_at")).alias("date_of_pymnt_start"),
-            F.to_date(F.max("db_destroyed_at")).alias("_last"),
-            F.max(F.when(F.col("user_db_sequence") == 1, F.col("initial_size_label"))).alias("initial_size_label"),
+    born, died = (F.struct(F.lit(k).alias("kind"), F.col(c).alias("at")) for k, c in (("born", "db_created_at"), ("died", "db_destroyed_at")))
+    outside = F.coalesce(~F.col("email_domain").isin(*internal_domains), F.lit(False))
+    first_label = F.when(outside & (F.col("user_db_sequence") == 1), F.col("initial_size_label"))
+    # One row per e-mail, kind and moment, so that moments are counted without a row copy per counted set.
+    moments = (
+        assets.select(
+            "email", outside.alias("outside"), (F.col("db_billing_identity") == tier).alias("inside"), first_label.alias("label"),
+            F.inline(F.array(born, died)),
         )
+        .groupBy("email", "kind", "at")
+        .agg(F.max("outside").alias("outside"), F.max("inside").alias("inside"), F.max("label").alias("label"))
+    )
+    known = F.col("at").isNotNull()
+
+    def counted(kind: str) -> Column:
+        return F.sum(F.when(F.col("inside") & known & (F.col("kind") == kind), 1).otherwise(0))
+
+    def when_outside(kind: str) -> Column:
+        return F.when(F.col("outside") & (F.col("kind") == kind), F.col("at"))
+
+    spans = moments.groupBy("email").agg(
+        F.max("outside").alias("_outside"),
+        # As in a join by e-mail, a null e-mail has no counts.
+        F.when(F.max("inside") & F.col("email").isNotNull(), counted("born")).alias("db_create_dts"),
+        F.when(F.max("inside") & F.col("email").isNotNull(), counted("died")).alias("db_destroy_dts"),
+        F.to_date(F.min(when_outside("born"))).alias("date_of_pymnt_start"),
+        F.to_date(F.max(when_outside("died"))).alias("_last"),
+        F.max("label").alias("initial_size_label"),
     )
-    return spans.join(counts, "email", "left").select(
+    return spans.where("_outside").select(
         "email", "db_create_dts", "db_destroy_dts", "date_of_pymnt_start",
         F.when(F.col("db_create_dts") == F.col("db_destroy_dts"), F.col("_last")).alias("date_of_pymnt_stop"),
         "initial_size_label",

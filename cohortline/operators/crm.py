@@ -2,57 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
-from cohortline.functions import aggs, text
+from cohortline.functions import text
+from cohortline.operators import lists
 
 DEFAULT_PLAN = "self_serve"
 
 
 def crm_contacts(contacts: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Contacts per e-mail with their accounts; lists are distinct and sorted."""
+    """Contacts per e-mail with their accounts; lists are distinct, sorted and whole."""
     owner = accounts.select(
         F.col("id").alias("account_id"), F.col("name").alias("_account"), "industry", "type", "annual_revenue"
     )
-    return (
-        contacts.where(F.col("email").isNotNull())
-        .join(owner, "account_id", "left")
-        .groupBy("email")
-        .agg(
-            F.first(F.lit("Contact")).alias("crm_type"),
-            F.max("name").alias("contact_name"),
-            aggs.sorted_list(F.col("title")).alias("titles_list"),
-            aggs.sorted_list(F.col("id")).alias("contact_id_list"),
-            aggs.sorted_list(F.col("account_id")).alias("account_id_list"),
-            aggs.sorted_list(F.col("industry")).alias("industry_list"),
-            F.max("_account").alias("account_name"),
-            aggs.sorted_list(F.col("type")).alias("account_type_list"),
-            F.max("annual_revenue").alias("approx_annual_revenue"),
-        )
+    held = contacts.where(F.col("email").isNotNull()).join(owner, "account_id", "left")
+    single = held.groupBy("email").agg(
+        F.max("name").alias("contact_name"), F.max("_account").alias("account_name"), F.max("annual_revenue").alias("approx_annual_revenue")
     )
+    named = {"title": "titles_list", "id": "contact_id_list", "account_id": "account_id_list", "industry": "industry_list",
+             "type": "account_type_list"}
+    return _with_lists(held, single, "Contact", named)
 
 
 def crm_leads(leads: DataFrame) -> DataFrame:
-    """Leads per e-mail that have not become contacts.
-
-    Leads without an e-mail share one row, whose lists are null: they would not end at any size.
-    """
-    known = F.col("email").isNotNull()
-
-    def texts(name: str):
-        return aggs.sorted_list(F.when(known, F.col(name)))
-
-    return (
-        leads.where(F.col("converted_contact_id").isNull())
-        .groupBy("email")
-        .agg(
-            F.first(F.lit("Lead")).alias("crm_type"),
-            F.max("name").alias("name"),
-            texts("id").alias("lead_id_list"),
-            texts("industry").alias("industry_list"),
-            texts("title").alias("titles_list"),
-        )
-    )
+    """Leads per e-mail that have not become contacts; those without an e-mail share one row, with whole lists as well."""
+    open_ = leads.where(F.col("converted_contact_id").isNull())
+    single = open_.groupBy("email").agg(F.max("name").alias("name"))
+    return _with_lists(open_, single, "Lead", {"id": "lead_id_list", "industry": "industry_list", "title": "titles_list"})
+
+
+def _with_lists(rows: DataFrame, single: DataFrame, kind: str, named: Mapping[str, str]) -> DataFrame:
+    """One row per e-mail, null included, of its single values and its lists."""
+    listed = lists.sorted_lists(rows, "email", list(named)).withColumnsRenamed(named)
+    both = single.unionByName(listed, allowMissingColumns=True)
+    rest = [c for c in both.columns if c != "email"]
+    return both.groupBy("email").agg(F.first(F.lit(kind)).alias("crm_type"), *[F.max(c).alias(c) for c in rest])
 
 
 def initial_plan(snapshots: DataFrame, path: str = "__key__.path", default: str = DEFAULT_PLAN) -> DataFrame:

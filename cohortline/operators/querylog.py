@@ -151,6 +151,14 @@ def structured_log(extract: DataFrame, rules: ClientRules = ClientRules()) -> Da
 RESOURCES = {"millis": "elapsedtimems", "memory_bytes": "allocatedbytes", "page_hits": "pagehits", "page_faults": "pagefaults"}
 
 
+#: Sums of resources are held as whole units and, under this ending, millionths.
+MICROS = "_micros"
+
+
+def resource_total(name: str) -> Column:
+    return numbers.rounded_total(F.col(name), F.col(name + MICROS)).alias(name)
+
+
 def on_day(log: DataFrame, day: date | str | None) -> DataFrame:
     return log if day is None else log.where(F.to_date("timestamp") == F.lit(str(day)).cast("date"))
 
@@ -171,7 +179,9 @@ def log_measures(fix_errors: bool = False) -> dict[str, Column]:
         measures[f"{state}_lines"] = aggs.sum_where(hit & direct, lines)
         measures[f"{state}_chars"] = aggs.sum_where(hit & direct, chars)
         for r, c in RESOURCES.items():
-            measures[f"{state}_{r}"] = aggs.sum_where(hit, numbers.exact(F.col(c)))
+            whole, micros = numbers.whole_and_micros(F.col(c))
+            measures[f"{state}_{r}"] = aggs.sum_where(hit, whole)
+            measures[f"{state}_{r}{MICROS}"] = aggs.sum_where(hit, micros)
     failed = F.col("failurereason").isNotNull()
     commit_failed = (event == "commit") & (failed | trace.isNotNull())
     measures["total_submit_errors"] = aggs.count_where(started & failed)
@@ -202,9 +212,6 @@ def minute_stats(log: DataFrame, day: date | str | None = None, fix_errors: bool
         names.alias("_names"),
     )
 
-    def whole(name: str) -> Column:
-        return numbers.to_int64(F.col(name)).alias(name)
-
     def side(state: str, direct_name: str, average: str) -> list[Column]:
         n = F.col(f"{state}_direct")
         return [
@@ -214,10 +221,10 @@ def minute_stats(log: DataFrame, day: date | str | None = None, fix_errors: bool
             F.col(f"{state}_chars").alias(f"imputed_total_{state}_characters"),
             numbers.rounded_ratio(F.col(f"{state}_lines"), n).alias(f"imputed_avg_lines_per_{average}"),
             numbers.rounded_ratio(F.col(f"{state}_chars"), n).alias(f"imputed_avg_characters_per_{average}"),
-            whole(f"{state}_millis"),
+            resource_total(f"{state}_millis"),
             F.lit(0).alias(f"{state}_planning_millis"),
             F.lit(0).alias(f"{state}_waiting_millis"),
-            *[whole(f"{state}_{r}") for r in RESOURCES if r != "millis"],
+            *[resource_total(f"{state}_{r}") for r in RESOURCES if r != "millis"],
         ]
 
     return totals.select(
@@ -253,17 +260,18 @@ def agent_minutes(log: DataFrame, event: str, day: date | str | None = None, fix
         .agg(
             aggs.count_where(direct).alias(f"{state}_queries"),
             aggs.count_where(direct & failed).alias(errors),
-            *[F.sum(numbers.exact(F.col(c))).alias(f"{state}_{r}") for r, c in RESOURCES.items()],
+            *[F.sum(part).alias(f"{state}_{r}{ending}") for r, c in RESOURCES.items()
+              for part, ending in zip(numbers.whole_and_micros(F.col(c)), ("", MICROS))],
         )
     )
-    summed = [f"{state}_queries", errors, *[f"{state}_{r}" for r in RESOURCES]]
+    summed = [f"{state}_queries", errors, *[f"{state}_{r}{ending}" for r in RESOURCES for ending in ("", MICROS)]]
     totals = per_user.groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in summed], F.count("username").alias("named_users")
     )
     return totals.select(
         *keys, f"{state}_queries", errors, "named_users",
-        numbers.to_int64(F.col(f"{state}_millis")).alias(f"{state}_millis"),
+        resource_total(f"{state}_millis"),
         F.lit(0).alias(f"{state}_planning_millis"),
         F.lit(0).alias(f"{state}_waiting_millis"),
-        *[numbers.to_int64(F.col(f"{state}_{r}")).alias(f"{state}_{r}") for r in RESOURCES if r != "millis"],
+        *[resource_total(f"{state}_{r}") for r in RESOURCES if r != "millis"],
     )

@@ -273,7 +273,7 @@ class StandIn:
             F.concat(F.lit("l"), k).alias("id"), F.col("c_name").alias("name"),
             pick(("Retail", "Energy", None), k % 3).alias("industry"),
             pick(("CTO", None, "Engineer", "Analyst"), k % 4).alias("title"),
-            self.email(k % 200).alias("email"),
+            F.when(k % 11 != 0, self.email(k % 200)).alias("email"),
             F.when(k % 3 == 0, F.concat(F.lit("c"), k)).alias("converted_contact_id"),
         )
 

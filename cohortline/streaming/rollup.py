@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from cohortline.functions import numbers
-from cohortline.operators.querylog import RESOURCES, log_measures
+from cohortline.operators.querylog import MICROS, RESOURCES, log_measures, resource_total
 
 STATES = ("submitted", "completed")
 
@@ -36,6 +35,6 @@ def minute_rollup(log: DataFrame, late: str = "10 minutes", fix_errors: bool = F
     renamed = {f"{state}_direct": f"{state}_direct_queries" for state in STATES}
     return rows.select(
         F.col("_w.start").alias("minute"), "dbid",
-        *[(numbers.to_int64(F.col(n)) if n in resources else F.col(n)).alias(renamed.get(n, n)) for n in measures],
+        *[resource_total(n) if n in resources else F.col(n).alias(renamed.get(n, n)) for n in measures if not n.endswith(MICROS)],
         "named_users",
     )

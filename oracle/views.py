@@ -89,7 +89,7 @@ SELECT 'a' || n_nationkey AS id, n_name AS name, {pick(('Retail', 'Energy', None
 FROM nation WHERE n_nationkey % 6 <> 5""",
     "leads": f"""
 SELECT 'l' || c_custkey AS id, c_name AS name, {pick(('Retail', 'Energy', None), 'c_custkey % 3')} AS industry,
-       {TITLES.format('c_custkey')} AS title, {email('c_custkey % 200')} AS email,
+       {TITLES.format('c_custkey')} AS title, CASE WHEN c_custkey % 11 <> 0 THEN {email('c_custkey % 200')} END AS email,
        CASE WHEN c_custkey % 3 = 0 THEN 'c' || c_custkey END AS converted
 FROM customer""",
     "helpdesk": f"""

@@ -213,3 +213,14 @@ def test_assets_without_an_owner_have_a_life_without_usage(spark):
     got = lifecycle.lifecycle_status(frame, history, "2020-03-15 00:00:00").select("userkey", "as_of_date", "num_free_db").collect()
     assert {(r.userkey, str(r.as_of_date), r.num_free_db) for r in got} == {
         (None, "2020-01-01", 0), (None, "2020-02-01", 0), (2, "2020-01-01", 1), (2, "2020-02-01", 1)}
+
+
+def test_payment_span_counts_moments_without_row_copies(spark, views):
+    got = cohorts.payment_span(views.assets(sequence=True), "Direct", s.INTERNAL_DOMAIN_NAMES)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") == 1
+    rows_ = [(1, "u", None, "e", COMPANY, "Direct", t("2020-01-01 00:00:00"), None), (2, "v", "v@e", None, COMPANY, "Direct", t("2020-01-01 00:00:00"), None),
+             (3, "w", "w@e", "e", COMPANY, "Free", t("2020-01-01 00:00:00"), t("2020-02-01 00:00:00")), (4, "x", "x@e", "e", COMPANY, "Direct", None, None)]
+    frame = spark.createDataFrame(rows_, ASSET).selectExpr("*", "1 as user_db_sequence", "'1GB' as initial_size_label")
+    found = {r.email: (r.db_create_dts, r.db_destroy_dts, r.initial_size_label) for r in cohorts.payment_span(frame, "Direct", ["corp"]).collect()}
+    assert found == {None: (None, None, "1GB"), "w@e": (None, None, "1GB"), "x@e": (0, 0, "1GB")}

@@ -53,11 +53,12 @@ def test_overlapping_versions_are_found(views):
         lifetimes.check_versions(history.unionByName(history))
 
 
-def test_leads_without_email_have_no_lists(spark):
-    leads = spark.createDataFrame([("l1", "n", None, "i", "t", None), ("l2", "m", "a@b", "i", None, None)],
-                                  "id string, name string, email string, industry string, title string, converted_contact_id string")
-    got = {r.email: (r.name, r.lead_id_list) for r in crm.crm_leads(leads).collect()}
-    assert got == {None: ("n", None), "a@b": ("m", "l2")}
+def test_leads_without_email_have_whole_lists(spark):
+    leads = spark.createDataFrame(
+        [("l1", "n", None, "i", "t", None), ("l3", "p", None, "h", None, None), ("l2", "m", "a@b", "i", None, None), ("l4", "z", "a@b", "i", None, "c")],
+        "id string, name string, email string, industry string, title string, converted_contact_id string")
+    got = {r.email: (r.name, r.lead_id_list, r.industry_list, r.titles_list) for r in crm.crm_leads(leads).collect()}
+    assert got == {None: ("p", "l1,l3", "h,i", "t"), "a@b": ("m", "l2", "i", None)}
 
 
 def test_funnel_plan_equals_the_lazy_chain(views, tmp_path):

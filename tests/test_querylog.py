@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, same_rows
+from cohortline.functions import numbers
 from cohortline.operators import querylog as ql
+from cohortline.sources import stand_in as s
 
 DRIVERS = [
     ("pydriver/4.2 Python/3.8 (linux)", "s", "pydriver", "4.2"),
@@ -101,3 +103,18 @@ def test_day_filter_reaches_the_scan(spark, views, tmp_path):
     day = ql.extract_log(log, "2024-01-15")
     assert "PushedFilters" in day._jdf.queryExecution().executedPlan().toString()
     same_rows(day, ql.extract_log(log).where(F.to_date("timestamp") == "2024-01-15"))
+
+
+def test_resources_are_summed_without_decimals(views):
+    log = ql.structured_log(ql.extract_logs(views.query_logs()), s.CLIENTS)
+    for frame in (ql.minute_stats(log), ql.agent_minutes(log, "start"), ql.agent_minutes(log, "commit")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert "decimal" not in plan
+
+
+def test_totals_round_half_away_from_zero(spark):
+    values = [[2.5], [-2.5], [1.25, 1.25], [-1.25, -1.25], [0.1] * 10, [-0.4, -0.1], [2.4999994], [1e12 + 0.5, 0.25], [-3.5, 1.0], [None, 1.5], [None]]
+    frame = spark.createDataFrame([(i, x) for i, v in enumerate(values) for x in v], "k int, x double")
+    whole, micros = numbers.whole_and_micros(F.col("x"))
+    got = frame.groupBy("k").agg(F.sum(whole).alias("w"), F.sum(micros).alias("m")).select("k", numbers.rounded_total(F.col("w"), F.col("m")))
+    assert dict(got.collect()) == {0: 3, 1: -3, 2: 3, 3: -3, 4: 1, 5: -1, 6: 2, 7: 10**12 + 1, 8: -3, 9: 2, 10: None}

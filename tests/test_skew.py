@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import same_rows
 from cohortline.operators import attribution as at
-from cohortline.operators import billing, milestones, querylog as ql
+from cohortline.operators import billing, lists, milestones, querylog as ql
 from cohortline.operators import events as ev
 from cohortline.operators import identity as ids
 
@@ -76,3 +76,19 @@ def test_exclusion_keeps_whole_results(hot):
     exclude = hot.where("dbid % 2 = 0").select("distinct_id")
     got = ev.without(flags, exclude, "distinct_id")
     same_rows(got.groupBy("distinct_id").count(), hot.where("dbid % 2 = 1").groupBy("distinct_id").count())
+
+
+@pytest.mark.parametrize("key", ["hot", None])
+def test_a_key_with_a_million_values_has_its_whole_list(spark, key):
+    i = F.col("id")
+    frame = spark.range(1_000_000).select(F.lit(key).cast("string").alias("email"), F.concat(F.lit("v"), i).alias("v"), (i % 3).alias("w"))
+    frame = frame.unionByName(spark.range(4000).select(F.concat(F.lit("e"), i % 10).alias("email"), F.concat(F.lit("x"), i % 40).alias("v"), F.lit(None).alias("w")))
+    got = {r.email: (r.v, r.w) for r in lists.sorted_lists(frame, "email", ["v", "w"], run=70_000).collect()}
+    assert got.pop(key) == (",".join(sorted(f"v{n}" for n in range(1_000_000))), "0,1,2")
+    assert got == {f"e{n}": (",".join(sorted(f"x{m}" for m in range(n, 40, 10))), None) for n in range(10)}
+
+
+def test_no_task_sorts_a_whole_list(spark):
+    frame = spark.range(200_000).select(F.lit("hot").alias("email"), F.concat(F.lit("v"), "id").alias("v"))
+    dealt = frame.distinct().repartitionByRange(20, "email", "v").groupBy(F.spark_partition_id().alias("p")).count()
+    assert dealt.count() == 20 and dealt.agg(F.max("count")).first()[0] < 20_000
