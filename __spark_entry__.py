@@ -264,6 +264,8 @@ BUILD: dict[str, Callable[[StandIn], DataFrame]] = {
     "conform_events": lambda v: ev.conform_events(v.event_tables(), s.TENANT),
     "asset_id_from_url": _url_ids,
     "identity_map": lambda v: ids.identity_map(v.event_log()),
+    "identity_factors": lambda v: ids.identity_factors(v.event_log()),
+    "identity_expanded": lambda v: ids.expand(ids.identity_factors(v.event_log())),
     "identity_emails": lambda v: ids.email_pairs(v.event_log()),
     "daily_interactions": _daily,
     "funnel_flags": lambda v: ev.funnel_flags(_daily(v)),

@@ -15,17 +15,19 @@ def funnel(
     event_tables: Mapping[str, DataFrame], out: str, internal_domains: Sequence[str],
     tenant: str | None = None, spec: Sequence[ev.Counter] | None = None,
 ) -> DataFrame:
-    """Write the event log, identity map, daily counts and flags under ``out``; return the report.
+    """Write the event log, identity factors, daily counts and flags under ``out``; return the report.
 
-    The conformed log is written once and read back four times with two
-    columns each, which is cheaper than conforming nineteen tables again.
+    The conformed log is written once and read back three times with a few
+    columns each, which is cheaper than conforming nineteen tables again. The
+    identity map is written as its factors (``identity.expand`` makes its rows
+    on demand), since an id shared by many people has their product in the map.
     """
     spark = next(iter(event_tables.values())).sparkSession
     tables.replace(ev.conform_events(event_tables, tenant), f"{out}/event_log")
     log = tables.scan(spark, f"{out}/event_log")
-    tables.replace(ids.identity_map(log), f"{out}/identity_map")
+    tables.replace(ids.identity_factors(log), f"{out}/identity_factors")
     tables.replace(ev.daily_interactions(log, spec or ev.interaction_spec()), f"{out}/daily_interactions")
     tables.replace(ev.funnel_flags(tables.scan(spark, f"{out}/daily_interactions")), f"{out}/funnel_flags")
     # Ids without an e-mail are never excluded, so the pairs are enough.
-    exclude = ev.excluded_ids(ids.seen_pairs(log, "email_address"), internal_domains)
+    exclude = ev.excluded_ids(ids.factor(tables.scan(spark, f"{out}/identity_factors"), "email_address"), internal_domains)
     return ev.funnel_report(tables.scan(spark, f"{out}/funnel_flags"), exclude)

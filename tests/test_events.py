@@ -83,3 +83,31 @@ def test_activation_timeline_one_row_per_label(spark):
     two = spark.createDataFrame([("a", d[3])], "distinct_id string, calendar_date date")
     assert rows(ev.activation_timeline(logins, opens, [one, two])) == [
         (d[0], "a", "x@e", d[3], "browser", d[3]), (d[0], "a", "x@e", d[3], "explorer", d[2]), (d[2], "b", None, None, None, None)]
+
+
+def test_factors_give_the_map_and_its_weights(spark, views):
+    log = views.event_log()
+    factors = ids.identity_factors(log)
+    same_rows(ids.expand(factors), ids.identity_map(log))
+    same_rows(ids.factor_weights(factors), ids.email_weights(ids.identity_map(log)).where("email_address is not null"))
+    asked = log.select("distinct_id").limit(7)
+    same_rows(ids.expand(factors, ids=asked), ids.identity_map(log).join(asked.distinct(), "distinct_id", "left_semi"))
+    same_rows(ids.expand(factors, ["email_address"]), ids.email_pairs(log))
+    for a in ids.ATTRIBUTES:
+        same_rows(ids.factor(factors, a), ids.seen_pairs(log, a))
+    plan = factors._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
+def test_an_id_shared_by_ten_thousand_people(spark):
+    i = F.col("id")
+    log = spark.range(10_000).select(
+        F.lit("shared").alias("distinct_id"), F.concat(F.lit("u"), i % 100).alias("user_id"),
+        F.concat(F.lit("e"), i).alias("email_address"), F.concat(F.lit("p"), i).alias("distinct_id_before_identity"))
+    log = log.unionByName(spark.createDataFrame([(None, "u", "e", "p"), ("lone", None, None, None)], LOG))
+    factors = ids.identity_factors(log)
+    assert factors.count() == 20_100 + 3
+    weights = ids.factor_weights(factors)
+    assert weights.count() == 10_000 and weights.where("weight <> 1000000").count() == 0
+    assert ids.expand(factors, ["email_address", "user_id"]).count() == 1_000_000 + 2
+    assert rows(ids.expand(factors, ids=spark.createDataFrame([("lone",)], "distinct_id string"))) == [("lone", None, None, None)]
