@@ -15,6 +15,9 @@ ROLLUP_TIERS = ("gds", "direct", "gcp", "enterprise", "free")
 PAID = ("direct", "gcp", "enterprise", "gds")
 
 
+# The names of the reported columns below are fixed values as well: reports read them.
+
+
 def asset_rollup(assets: DataFrame, internal_domains: Sequence[str]) -> DataFrame:
     """One row per external e-mail: first dates, sizes by sequence, sums, distinct-asset counts per tier.
 

@@ -230,13 +230,17 @@ def excluded_ids(identity: DataFrame, domains: Sequence[str]) -> DataFrame:
     return identity.where(text.outside_domains(F.col("email_address"), domains)).select("distinct_id")
 
 
-def without(frame: DataFrame, exclude: DataFrame, key: str) -> DataFrame:
+def without(frame: DataFrame, exclude: DataFrame, key: str, null_safe: bool = False) -> DataFrame:
     """Rows whose key is NOT IN ``exclude``, null rules included, as a distributed anti join.
 
     A null in a non-empty ``exclude`` removes everything, and a null key goes
     unless ``exclude`` is empty. Those two facts are a one-row subquery; the
-    ids themselves are never gathered.
+    ids themselves are never gathered. ``null_safe`` takes a null as a value: it
+    removes rows with a null key and no others.
     """
+    if null_safe:
+        keys = exclude.select(F.col(key).alias("_key")).distinct()
+        return frame.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
     facts = exclude.agg(F.struct(
         F.coalesce(F.max(F.col(key).isNull()), F.lit(False)).alias("has_null"), F.count("*").alias("n")
     ).alias("facts")).scalar()
@@ -245,10 +249,12 @@ def without(frame: DataFrame, exclude: DataFrame, key: str) -> DataFrame:
     return rows.join(keys, key, "left_anti")
 
 
-def funnel_report(flags: DataFrame, exclude: DataFrame | None = None, steps: Sequence[str] = REPORT_STEPS) -> DataFrame:
-    """Users reaching each step per day, without the excluded ids."""
+def funnel_report(
+    flags: DataFrame, exclude: DataFrame | None = None, steps: Sequence[str] = REPORT_STEPS, null_safe: bool = False
+) -> DataFrame:
+    """Users reaching each step per day, without the excluded ids (:func:`without`)."""
     if exclude is not None:
-        flags = without(flags, exclude, "distinct_id")
+        flags = without(flags, exclude, "distinct_id", null_safe)
     return (
         flags.groupBy("calendar_dt")
         .agg(

@@ -1,5 +1,6 @@
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows, same_rows
@@ -111,3 +112,14 @@ def test_an_id_shared_by_ten_thousand_people(spark):
     assert weights.count() == 10_000 and weights.where("weight <> 1000000").count() == 0
     assert ids.expand(factors, ["email_address", "user_id"]).count() == 1_000_000 + 2
     assert rows(ids.expand(factors, ids=spark.createDataFrame([("lone",)], "distinct_id string"))) == [("lone", None, None, None)]
+
+
+@pytest.mark.parametrize("excluded, plain, safe", [
+    ([], ["a", "b", None], ["a", "b", None]), (["a"], ["b"], ["b", None]), (["a", None], [], ["b"]), ([None], [], ["a", "b"])])
+def test_exclusion_with_nulls(spark, excluded, plain, safe):
+    frame = spark.createDataFrame([("a",), ("b",), (None,)], "distinct_id string")
+    exclude = spark.createDataFrame([(x,) for x in excluded], "distinct_id string")
+    for null_safe, wanted in ((False, plain), (True, safe)):
+        got = ev.without(frame, exclude, "distinct_id", null_safe)
+        assert sorted((r[0] for r in got.collect()), key=repr) == sorted(wanted, key=repr)
+        assert "NestedLoop" not in got._jdf.queryExecution().executedPlan().toString()
