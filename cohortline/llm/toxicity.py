@@ -46,14 +46,13 @@ _WORD = re.compile(r"[^\W_]+")
 #: Phrases in which listed words are harmless; given in plain spelling.
 EXCEPTIONS = ("clown fish", "clown car", "circus clown", "trash can", "trash bin", "trash bag", "idiot proof", "scum line")
 
-#: Words that mark abuse whatever the labelled texts hold; given in plain spelling.
+#: Words that mark abuse as long as the labelled texts say nothing about them; given in plain spelling.
 SEEDS = ("idiot", "moron", "imbecile", "cretin", "stupid", "dumb", "loser", "scum", "vermin", "filth", "trash", "worthless",
          "pathetic", "disgusting", "clown", "bastard", "asshole", "bitch", "jerk", "scumbag", "retard", "dumbass")
-#: Weight of a seed that the labelled texts say nothing about.
-SEED_WEIGHT = 4.0
+#: Weight of a seed that the labelled texts say nothing about, and the log odds that a learned term is above.
+SEED_WEIGHT, LEAST_ODDS = 4.0, 3.0
 
-#: Most lexicon entries and most labelled documents that a model is fitted on.
-MOST_TERMS = 2_000
+#: Most labelled documents that a model is fitted on; they bound the candidate terms as well.
 MOST_LABELLED = 20_000
 
 
@@ -67,10 +66,19 @@ def fold(text: str) -> str:
     return " " + " ".join(_WORD.findall(text.translate(_TABLE))) + " "
 
 
-def _terms(folded: str) -> set[str]:
-    """Whole words (` word `) and word beginnings of 4 to 6 letters (` word`) of a folded text."""
-    words = set(folded.split())
-    return {f" {w} " for w in words if len(w) > 2} | {f" {w[:n]}" for w in words for n in (4, 5, 6) if len(w) > n}
+def marked(text: str) -> str:
+    """The words of :func:`fold` with their accents kept, since accents tell words apart in many languages; empty for plain texts."""
+    if text.isascii():
+        return ""
+    text = _SIGN.sub(lambda m: _LOOKS[m[0]], unicodedata.normalize("NFC", _HIDDEN.sub("", text.lower())))
+    return " " + " ".join(_WORD.findall(text.translate(_TABLE))) + " "
+
+
+def _terms(text: str) -> set[str]:
+    """Whole words (` word `) and word beginnings of 4 to 6 letters (` word`), folded; and beginnings of 3 to 6 letters with accents."""
+    words, others = set(fold(text).split()), {w for w in marked(text).split() if not w.isascii()}
+    return ({f" {w} " for w in words if len(w) > 2} | {f" {w[:n]}" for w in words for n in (4, 5, 6) if len(w) > n}
+            | {f" {w[:n]}" for w in others for n in (3, 4, 5, 6) if len(w) > n and not w[:n].isascii()})
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out, most: int, keep=("text",)) -> DataFrame:
@@ -96,9 +104,9 @@ class Lexicon:
 
         found = ahocorasick.Automaton()
         for term, weight in self.weights.items():
-            found.add_word(term, (len(term), weight))
+            found.add_word(term, (len(term), weight, term.isascii()))
         for phrase in self.exceptions:
-            found.add_word(fold(phrase), (len(fold(phrase)), None))
+            found.add_word(fold(phrase), (len(fold(phrase)), None, True))
         if len(found):
             found.make_automaton()
         return found
@@ -110,7 +118,9 @@ class Lexicon:
         folded = fold(text)
         best: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
-        for end, (n, weight) in automaton.iter(folded):
+        for end, (n, weight, plain) in automaton.iter(folded + marked(text)):
+            if plain and end >= len(folded):
+                continue  # a plain word was met in the folded text already
             if weight is None:
                 spared.append((end + 1 - n, end))
             elif weight > best.get(end + 1 - n, 0.0):
@@ -130,16 +140,18 @@ class Lexicon:
 
 
 def learn(docs: DataFrame, labels: DataFrame, held_out, exceptions: tuple[str, ...] = EXCEPTIONS,
-          most_labelled: int = MOST_LABELLED, most_terms: int = MOST_TERMS, least_support: int = 3,
-          marks_wanted: int = 2) -> Lexicon:
+          most_labelled: int = MOST_LABELLED, least_support: int = 3, marks_wanted: int = 2,
+          seeds: tuple[str, ...] = SEEDS) -> Lexicon:
     """A lexicon from labelled documents: terms that mark toxic texts, by their log odds.
 
     Document frequencies of words and word beginnings are counted by label in
-    Spark. Of the candidates (in `least_support` toxic texts at least, with odds
-    above e^3) the one that is in most texts that still want marks is taken, a
+    Spark. Of the candidates (in `least_support` toxic texts at least, with log
+    odds above LEAST_ODDS) the one that is in most texts that still want marks is taken, a
     text wanting `marks_wanted`, until it marks fewer than `least_support`; so
-    words that only go along with toxic ones are left out. SEEDS are entries
-    from the start, with learned weights where there are any. The two measures
+    words that only go along with toxic ones are left out. `seeds` are entries
+    from the start: with their log odds where `least_support` labelled texts hold
+    them, which may be low, or leave them out when it is not above 0, and with
+    SEED_WEIGHT elsewhere. The two measures
     of a text are then calibrated by a logistic fit. All of it uses the bounded
     sample of labelled_sample. Without labelled toxic texts the seeds remain.
     """
@@ -149,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out, exceptions: tuple[str, .
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[label].update(_terms(fold(text or "")))
+                counts[label].update(_terms(text or ""))
                 counts[label][""] += 1
         names = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_arrays(
@@ -157,20 +169,20 @@ def learn(docs: DataFrame, labels: DataFrame, held_out, exceptions: tuple[str, .
             ["term", "clean", "toxic"])
 
     counted = sample.mapInArrow(frequencies, "term string, clean long, toxic long").groupBy("term").agg(
-        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(
-        f"term = '' or toxic >= {least_support} and toxic > 20 * clean")
-    seeds = {fold(w): SEED_WEIGHT for w in SEEDS}
-    total = {r.term: r for r in counted.where("term = ''").collect()}.get("")
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    given = {fold(w): SEED_WEIGHT for w in seeds}
+    wanted_terms = F.expr(f"term = '' or toxic >= {least_support} and toxic > 20 * clean") | F.col("term").isin(*given)
+    rows = {r.term: r for r in counted.where(wanted_terms).collect()}
+    total = rows.pop("", None)
     if total is None or not total.toxic:
-        return Lexicon(seeds, exceptions)
-    odds = F.log(((F.col("toxic") + 0.5) / (total.toxic + 1)) / ((F.col("clean") + 0.5) / (total.clean + 1)))
-    candidates = counted.where("term <> ''").withColumn("weight", odds).where("weight > 3").orderBy(
-        F.desc("toxic"), F.length("term"), "term").limit(most_terms)
-    weights = {r.term: r.weight for r in candidates.collect()}
+        return Lexicon(given, exceptions)
+    odds = {t: float(np.log((r.toxic + 0.5) / (total.toxic + 1) * (total.clean + 1) / (r.clean + 0.5))) for t, r in rows.items()}
+    given |= {t: odds[t] for t, r in rows.items() if t in given and r.toxic + r.clean >= least_support}
+    weights = {t: odds[t] for t, r in rows.items() if r.toxic >= least_support and r.toxic > 20 * r.clean and odds[t] > LEAST_ODDS}
 
     def marks(batches):
         for batch in batches:
-            found = [sorted(_terms(fold(t or "")) & weights.keys()) for t in batch.column(0).to_pylist()]
+            found = [sorted(_terms(t or "") & weights.keys()) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], ["terms"])
 
     texts_of: dict[str, set[int]] = {}
@@ -195,8 +207,11 @@ def learn(docs: DataFrame, labels: DataFrame, held_out, exceptions: tuple[str, .
             elif done:
                 texts_of[t] -= done
 
-    for term, weight in seeds.items():
-        take(term, max(weight, weights.get(term, 0.0)))
+    for term, weight in given.items():
+        if weight > LEAST_ODDS:
+            take(term, weight)
+        elif weight > 0:
+            chosen[term] = weight
     while texts_of:
         term = min(texts_of, key=lambda t: (-len(texts_of[t]), not t.endswith(" "), len(t), t))
         if len(texts_of[term]) < least_support:

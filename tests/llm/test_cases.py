@@ -1,5 +1,7 @@
 """Empty tables, nulls, ties, repeated rows, very long texts and clashing column names."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,6 +109,35 @@ def test_toxic_disguises():
     assert toxicity.fold("1d1оt") == toxicity.fold("idiot")
 
 
+def test_labels_lower_seeds(spark):
+    rows = [(i, "old trash on the road" if i % 2 else "plain words here", 0) for i in range(40)]
+    rows += [(100 + i, "you absolute moron go away", 1) for i in range(10)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    lexicon = toxicity.learn(docs, labels, F.lit(False))
+    assert " trash " not in lexicon.weights and lexicon.weights[" moron "] > 3 and lexicon.weights[" idiot "] == toxicity.SEED_WEIGHT
+    assert toxicity.learn(docs, labels, F.lit(False), seeds=()).weights.keys().isdisjoint({" idiot "})
+    automaton = lexicon.automaton()
+    assert lexicon.score("the trash is full", automaton) < 0.5 < lexicon.score("what a m0r\u043en", automaton)
+
+
+def test_matches_are_the_same_as_by_plain_search():
+    weights = {" idiot ": 2.0, " idio": 1.0, " scum ": 3.0, " scumb": 2.5}
+    lexicon = toxicity.Lexicon(weights, ("scum line",))
+    weights[" été"] = 1.5
+    lexicon = toxicity.Lexicon(weights, ("scum line",))
+    for text in ("étés et ete", "un idiot en été", "an idiot, an idiotic id10t", "scum line and scum", "scumbag scum", "", "clean", "idiot idiot", "the scum line idiots"):
+        folded, marked, phrase = toxicity.fold(text), toxicity.marked(text), toxicity.fold("scum line")
+        spared = [(m, m + len(phrase) - 1) for m in range(len(folded)) if folded.startswith(phrase, m)]
+        best = {}
+        for term, weight in weights.items():
+            where = folded if term.isascii() else marked
+            for at in range(len(where)):
+                if where.startswith(term, at) and not (where is folded and any(a <= at < b for a, b in spared)):
+                    best[where is folded, at] = max(best.get((where is folded, at), 0), weight)
+        assert math.isclose(lexicon.measures(text, lexicon.automaton())[0], math.log1p(sum(best.values())))
+
+
 def test_fixity_cases(spark):
     rows = [(1, "u", "body"), (2, None, None), (3, "u", "body"), (3, "u", "body"), (None, "u", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("hash", F.lit("extra"))

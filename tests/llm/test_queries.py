@@ -157,6 +157,16 @@ def test_held_out_accuracy(spark, name, label, n, held, least):
     assert total and right >= 0.9 * total
 
 
+def test_held_out_toxic_documents_are_caught(spark):
+    """Recall and precision, where there are enough labelled documents to tell."""
+    sf_dir = os.environ.get("TEST_MORE_DIR", "/root/testdata/sf0.1")
+    toxic = {r["doc_id"]: r["toxic"] for r in table(sf_dir, "labels") if r["toxic"] is not None}
+    found = [(r.predicted, toxic[r.doc_id]) for r in queries.op6_toxicity(spark, sf_dir).where("held_out").collect() if r.doc_id in toxic]
+    caught = sum(p and t for p, t in found)
+    assert sum(t for _, t in found) > 10
+    assert caught >= 0.85 * sum(t for _, t in found) and caught >= 0.95 * sum(p for p, _ in found)
+
+
 def test_fixity_audit_finds_every_changed_page(spark, sf_dir):
     struck = {p["page_id"] for p in table(sf_dir, "pages") if p["html"]
               and hashlib.md5(str(p["page_id"]).encode()).hexdigest()[:2] < "04"}
