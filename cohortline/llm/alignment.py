@@ -19,8 +19,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import cut
 
-#: A space or line end between two other characters: both tokenizers begin a new token there (checked for the vocabulary).
-SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: Before a space or line end between two other characters, and before a mark after a letter, the byte-level tokenizer
+#: begins a new token; so does the other where no entry of its vocabulary spans such a place (see UNSAFE).
+SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?])")
+UNSAFE = re.compile("[^▁]▁|\n.|.\n|[A-Za-zÀ-ÖØ-öø-ÿ][.,;:!?]")
 #: Distinct pieces that a task remembers, and the longest of them in characters.
 KEPT_PIECES, KEPT_CHARS = 500_000, 64
 #: Commonest id pairs whose counts are sent to every task (17 bytes each); the counts of all others are joined.
@@ -41,6 +43,9 @@ def align(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int, int]]
     out, todo = [], [(0, len(a), 0, len(b))]
     while todo:
         i, j, k, m = todo.pop()
+        if j - i == 1 or m - k == 1:
+            out.append((i, j, k, m))
+            continue
         middle = (i + j) // 2
         for step in range(j - i + 1):
             at = middle + (step + 1) // 2 * (1 if step % 2 else -1)
@@ -82,8 +87,9 @@ class Aligner:
         self.width = len(self.b_bytes)
         self.a_names, self.b_names = [str(i) for i in range(len(self.a_bytes))], [str(i) for i in range(self.width)]
         pieces = [self.b.id_to_piece(i) for i in range(self.width)]
-        self.space = pieces.index("▁") if "▁" in pieces else -1
-        self.divisible = not any(re.search("[^▁]▁|\n.|.\n", p) for p in pieces)
+        # A line end is a token of its own, and so is the space that is put before it.
+        self.apart = self.b.encode("\n")
+        self.divisible = not any(UNSAFE.search(p) for p in pieces)
         self.forget()
 
     def _piece(self, i: int) -> bytes:
@@ -137,13 +143,14 @@ class Aligner:
         known = self.known
         new = [p for p in dict.fromkeys(pieces) if p not in known]
         if new:
-            # The second tokenizer puts a space before each text; it stands for the piece's own, or is taken off again.
+            # The second tokenizer puts a space before each text. It stands for the piece's own, or is kept apart by a
+            # line end and both are taken off again.
             spaced = [p[0] == " " for p in new]
             firsts = self.a.encode_batch_fast(new, add_special_tokens=False)
-            seconds = self.b.encode([p[1:] if own else p for p, own in zip(new, spaced)], num_threads=1)
+            seconds = self.b.encode([p[1:] if own else "\n" + p for p, own in zip(new, spaced)], num_threads=1)
             for piece, own, first, second in zip(new, spaced, firsts, seconds):
-                if not own and second and second[0] == self.space:
-                    second = second[1:]
+                if not own:
+                    second = second[len(self.apart):]
                 known[piece] = len(self.texts)
                 self._learn(piece, first.ids, second)
         return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
