@@ -76,3 +76,17 @@ def test_cases(spark, hot):
     for frame in (asof.as_of(points.limit(0), versions, "t"), asof.as_of(points.limit(0), versions.limit(0), "t")):
         assert frame.count() == 0
     assert rows(asof.as_of(points, versions.limit(0), "t"), "db_size") == [(None,)] * 9
+
+
+def test_long_histories_list_versions_only_within_the_points_months(spark):
+    versions = spark.range(3).selectExpr("id as dbid", "id + 0.5D as db_size", "timestamp '2020-01-01' as ts_effective_from",
+                                         "timestamp '9999-12-31' as ts_effective_thru")
+    points = spark.createDataFrame([(0, "2020-01-01 00:00:00"), (1, "2020-04-05 00:00:00"), (2, None), (7, "2020-02-01 00:00:00")],
+                                   "dbid long, c string").selectExpr("dbid", "cast(c as timestamp) as at")
+    found = lifetimes.size_as_of(points, versions, "at", long_histories=True)
+    assert rows(found, "dbid", "db_size") == rows(lifetimes.size_as_of(points, versions, "at"), "dbid", "db_size")
+    assert "ubquery" not in found._jdf.queryExecution().toString()
+    # Points without any time: an open version is not listed for every month up to the year 9999.
+    lone = lifetimes.size_as_of(points.where("at is null"), versions, "at", long_histories=True)
+    assert rows(lone, "dbid", "db_size") == [(2, None)]
+    assert "Generate" not in lone._jdf.queryExecution().optimizedPlan().toString()
