@@ -83,3 +83,16 @@ def test_an_email_with_half_of_all_assets_is_spread(spark):
         F.timestamp_seconds(1577836800 + i % 700 * 86400).alias("db_created_at"),
         F.when(i % 3 == 0, F.timestamp_seconds(1577836800 + (i % 700 + 40) * 86400)).alias("db_destroyed_at"))
     same_rows(ret.create_destroy_log(assets, "2020-01-01", "2021-12-01 00:00:00"), joined_log(assets, "2020-01-01", "2021-12-01 00:00:00"))
+
+
+def test_parts_grow_with_the_assets_and_months_are_listed_behind_them(spark):
+    assets = spark.range(500_000).select(
+        F.col("id").alias("dbid"), F.concat(F.lit("e"), F.col("id") % 50_000).alias("email"),
+        F.lit("2020-01-05").cast("timestamp").alias("db_created_at"), F.lit("2020-02-05").cast("timestamp").alias("db_destroyed_at"))
+    log = ret.create_destroy_log(assets, "2020-01-01", "2020-12-01 00:00:00")
+    above, *below = log._jdf.queryExecution().executedPlan().toString().split("Exchange")
+    assert "explode(sequence" in above and not any("explode(sequence" in b for b in below)
+    assert log.rdd.getNumPartitions() >= 5
+    assert rows(log.groupBy("yr", "mnth").agg(F.count("*"), F.sum("db_created_count"), F.sum("db_destroyed_count"))) == [
+        (2020, 1, 50_000, 500_000, None), (2020, 2, 50_000, None, 500_000)]
+    assert ret.active_users(assets, "2020-01-01", "2020-12-01 00:00:00").rdd.getNumPartitions() >= 5
