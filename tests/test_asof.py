@@ -85,6 +85,8 @@ def test_long_histories_list_versions_only_within_the_points_months(spark):
                                    "dbid long, c string").selectExpr("dbid", "cast(c as timestamp) as at")
     found = lifetimes.size_as_of(points, versions, "at", long_histories=True)
     assert rows(found, "dbid", "db_size") == rows(lifetimes.size_as_of(points, versions, "at"), "dbid", "db_size")
+    # A few bytes to scan, but many rows per version: not to be broadcast.
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert "ubquery" not in found._jdf.queryExecution().toString()
     # Points without any time: an open version is not listed for every month up to the year 9999.
     lone = lifetimes.size_as_of(points.where("at is null"), versions, "at", long_histories=True)
