@@ -224,3 +224,22 @@ def test_payment_span_counts_moments_without_row_copies(spark, views):
     frame = spark.createDataFrame(rows_, ASSET).selectExpr("*", "1 as user_db_sequence", "'1GB' as initial_size_label")
     found = {r.email: (r.db_create_dts, r.db_destroy_dts, r.initial_size_label) for r in cohorts.payment_span(frame, "Direct", ["corp"]).collect()}
     assert found == {None: (None, None, "1GB"), "w@e": (None, None, "1GB"), "x@e": (0, 0, "1GB")}
+
+
+def many_assets(spark, n=120_000):
+    i = F.col("id")
+    return spark.range(n).select(
+        i.alias("dbid"), (i % 9000).alias("userkey"), F.concat(F.lit("u"), i % 9000, F.lit("@x")).alias("email"),
+        F.lit("x").alias("email_domain"), F.lit("External Company User").alias("user_classification"),
+        F.lit("Free").alias("db_billing_identity"), F.lit("2020-01-05").cast("timestamp").alias("db_created_at"),
+        F.lit("2020-03-05").cast("timestamp").alias("db_destroyed_at"))
+
+
+@pytest.mark.parametrize("build", [lifecycle.lifecycle_status, lifecycle.tier_month_usage, lifetimes.monthly_snapshot])
+def test_parts_grow_with_the_assets_and_histories_are_not_broadcast(spark, build):
+    assets = many_assets(spark, 120_000 if build is not lifetimes.monthly_snapshot else 500_000)
+    history = assets.select("dbid", F.lit(1024.0).alias("db_size"), F.col("db_created_at").alias("ts_effective_from"),
+                            F.lit("9999-12-31").cast("timestamp").alias("ts_effective_thru"))
+    made = build(assets, history, "2020-06-01 00:00:00")
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    assert made.rdd.getNumPartitions() >= 5
