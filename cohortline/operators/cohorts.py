@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortline.functions import aggs, text, times
+from cohortline.functions.parts import parts_for
 from cohortline.operators import intervals, lifetimes
 
 # Tiers reported one by one, and those that are paid for.
@@ -151,7 +152,7 @@ def active_and_querying(
     """Per live day and e-mail, 1 if the e-mail's assets completed queries that day.
 
     Lifetimes and query days go through one sweep, so owner-days are produced
-    once at the end and never shuffled or joined.
+    once at the end and never shuffled or joined, in parts by the number of assets.
     """
     none = F.lit(0).cast("long")
     live = lifetimes.live_span(assets, start, as_of).select(
@@ -161,7 +162,7 @@ def active_and_querying(
     asked = queries.where("calendar_dt is not null and email is not null").select(
         "email", day.alias("first"), day.alias("last"), none.alias("live"), F.lit(1).cast("long").alias("asked")
     )
-    runs = intervals.sweep(live.unionByName(asked), ["email"], ["live", "asked"]).where("live > 0")
+    runs = intervals.sweep(live.unionByName(asked), ["email"], ["live", "asked"], ["email"], parts_for(assets)).where("live > 0")
     days = intervals.expand(runs, "_day", ["email", "asked"])
     return days.select(
         times.first_date("day", F.col("_day")).alias("calendar_dt"), "email",

@@ -243,3 +243,11 @@ def test_parts_grow_with_the_assets_and_histories_are_not_broadcast(spark, build
     made = build(assets, history, "2020-06-01 00:00:00")
     assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
     assert made.rdd.getNumPartitions() >= 5
+
+
+def test_owner_days_are_listed_in_parts_by_assets(spark):
+    assets = many_assets(spark, 500_000)
+    queries = assets.limit(1).select(F.lit("2020-01-06").cast("date").alias("calendar_dt"), "email", F.lit(1).alias("queries_completed"))
+    days = cohorts.active_and_querying(assets, queries, "2020-01-01", "2020-06-01 00:00:00")
+    assert days.rdd.getNumPartitions() >= 5
+    assert rows(days.agg(F.count("*"), F.sum("active_user_yn"))) == [(9000 * 61, 1)]
