@@ -251,3 +251,11 @@ def test_owner_days_are_listed_in_parts_by_assets(spark):
     days = cohorts.active_and_querying(assets, queries, "2020-01-01", "2020-06-01 00:00:00")
     assert days.rdd.getNumPartitions() >= 5
     assert rows(days.agg(F.count("*"), F.sum("active_user_yn"))) == [(9000 * 61, 1)]
+
+
+def test_daily_usage_does_not_broadcast_the_history(spark):
+    assets = many_assets(spark)
+    history = assets.select("dbid", F.lit(1024.0).alias("db_size"), F.col("db_created_at").alias("ts_effective_from"),
+                            F.lit("9999-12-31").cast("timestamp").alias("ts_effective_thru"))
+    sized = usage._finished(usage._live(assets, "2020-06-01 00:00:00", None, lifetimes.METERED_TIERS), history)
+    assert "Broadcast" not in sized._jdf.queryExecution().executedPlan().toString()
