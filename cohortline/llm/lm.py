@@ -4,7 +4,8 @@ The filter holds, for an n-gram of count c, the pairs (n-gram, 1) ... (n-gram, q
 with q = 1 + floor(log_b c). Its level is read back by probing 1, 2, ... until
 one is absent. The filter has a fixed number of bits and is broadcast; what it
 holds is chosen from exact counts over all training texts: all words and
-bigrams of at least the least count at which they fit.
+bigrams of at least the least count at which they fit. The rarer ones stay in
+tables, and texts meet them there in joins, at the same quantised counts.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import SPACES, cut, mix, word_slices
 
@@ -134,11 +135,15 @@ def _count(docs: DataFrame, keys_of) -> DataFrame:
 
 
 class Model:
-    """Broadcast parts of a model: the filter, the most frequent words' exact counts, and totals."""
+    """Broadcast parts of a model: the filter, the most frequent words' exact counts, totals, and the least levels in the filter.
 
-    def __init__(self, bits, head, head_counts, tokens: int, distinct: int, floor: int):
+    A least level of 1 says that all words, or all bigrams, of the training texts are in the filter.
+    """
+
+    def __init__(self, bits, head, head_counts, tokens: int, distinct: int, word_level: int, pair_level: int):
         self.bits, self.head, self.head_counts = bits, head, head_counts
-        self.tokens, self.distinct, self.floor = tokens, distinct, floor
+        self.tokens, self.distinct = tokens, distinct
+        self.word_level, self.pair_level = word_level, pair_level
 
     def exact(self, keys: np.ndarray) -> np.ndarray:
         """Counts of keys among the most frequent words, -1 for others."""
@@ -148,20 +153,19 @@ class Model:
         at[at == len(self.head)] = 0
         return np.where(self.head[at] == keys, self.head_counts[at], -1)
 
-    def log_probabilities(self, tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability after the token before it in its text."""
-        own, back = np.unique(tokens, return_inverse=True)
-        counts = _estimate(probe(self.bits, own))
-        alone = (counts[back] + 1) / (self.tokens + self.distinct + 1)
-        pairs, places = _pairs(tokens, at)
-        p = alone.copy()
-        if len(places):
-            keys, of = np.unique(pairs, return_inverse=True)
-            seen = _estimate(probe(self.bits, keys))[of]
-            before = counts[back][places - 1]
-            seen = np.minimum(seen, before)
-            p[places] = (seen + PRIOR * alone[places]) / (before + PRIOR)
-        return np.log10(p)
+    def _held(self, keys: np.ndarray, least: int) -> np.ndarray:
+        """Levels of keys; what seems to be below the least level in the filter is not in it (0)."""
+        found = probe(self.bits, keys)
+        return np.where(found >= least, found, 0)
+
+    def word_levels(self, words: np.ndarray, exact: np.ndarray) -> np.ndarray:
+        """Levels of words by the filter, or by their exact counts where it has left them out; 0 for others."""
+        found = self._held(words, self.word_level)
+        return np.where((found == 0) & (exact > 0), level(np.maximum(exact, 1)), found)
+
+    def pair_levels(self, pairs: np.ndarray) -> np.ndarray:
+        """Levels of bigrams by the filter, 0 for others."""
+        return self._held(pairs, self.pair_level)
 
 
 def _filter(tables: list[tuple[DataFrame, int]], spark) -> np.ndarray:
@@ -189,24 +193,32 @@ def _filter(tables: list[tuple[DataFrame, int]], spark) -> np.ndarray:
 
 
 def _least_count(table: DataFrame, room: float) -> tuple[int, float]:
-    """The least count at which all keys of at least that count fit in `room` entries, and the entries they take."""
-    levels = F.floor(F.log(F.col("c").cast("double")) / math.log(BASE) + 1e-9) + 1
-    by_count = table.groupBy(F.least(F.col("c"), F.lit(10_000)).alias("c")).agg(F.sum(levels).alias("entries")).collect()
+    """The least count at which all keys of at least that count fit in `room` entries (1 if all do), and the entries they take."""
+    by_count = table.groupBy(F.least(F.col("c"), F.lit(10_000)).alias("c")).agg(F.sum(_level(F.col("c"))).alias("entries")).collect()
     least, taken = 10_001, 0.0
     for row in sorted(by_count, key=lambda r: -r.c):
         if taken + row.entries > room:
-            break
+            return least, taken
         least, taken = row.c, taken + row.entries
-    return least, taken
+    return 1, taken
+
+
+def _level(count: Column) -> Column:
+    """:func:`level` of a column."""
+    return F.floor(F.log(count.cast("double")) / math.log(BASE) + 1e-9) + 1
+
+
+def _middle(levels: Column) -> Column:
+    """:func:`_estimate` of a column; 0 for null."""
+    return F.when(levels > 0, F.greatest(F.lit(1.0), F.pow(F.lit(BASE), levels - 0.5))).otherwise(F.lit(0.0))
 
 
 def learn(training: DataFrame) -> tuple[Model, DataFrame]:
-    """A model of the texts (column text), and the exact counts (h, c) of all their tokens, as a written table.
+    """A model of the texts (column text), and the exact counts (h, c, pair) of all their tokens and of the bigrams that the filter leaves out.
 
-    Words are counted first. A bigram is no more frequent than its words, so
-    bigrams are counted among the HEAD_WORDS most frequent words: all that
-    are left out are rarer than the rarest of these. Cases: a null or empty
-    text is one end; without training texts every count is 0.
+    All words and all bigrams are counted, as written tables. The filter takes
+    the most frequent ones; every other keeps its count in its table. Cases: a
+    null or empty text is one end; without training texts every count is 0.
     """
     spark = training.sparkSession
     words = cut(_count(training, lambda tokens, at: tokens))
@@ -216,23 +228,80 @@ def learn(training: DataFrame) -> tuple[Model, DataFrame]:
     order = np.argsort(head)
     head, head_counts = head[order], top["c"].to_numpy()[order]
     least_word, taken = _least_count(words, BITS * FILL / 2)
-    # a bigram is worth keeping from 2 occurrences on; so are its words
-    frequent = spark.sparkContext.broadcast(head[head_counts > 1])
-
-    def pairs(tokens, at):
-        known = frequent.value
-        if not len(known):
-            return np.zeros(0, _U)
-        place = np.searchsorted(known, tokens)
-        place[place == len(known)] = 0
-        kept = known[place] == tokens
-        keys, places = _pairs(tokens, at)
-        return keys[kept[places] & kept[places - 1]]
-
-    bigrams = cut(_count(training, pairs).where("c > 1"))
+    bigrams = cut(_count(training, lambda tokens, at: _pairs(tokens, at)[0]))
     least_pair, _ = _least_count(bigrams, BITS * FILL - taken)
     bits = _filter([(words, least_word), (bigrams, least_pair)], spark)
-    return Model(bits, head, head_counts, total.n or 0, total.v, max(0, least_pair)), words
+    levels = [int(level(np.array([c]))[0]) for c in (least_word, least_pair)]
+    rest = bigrams.where(F.col("c") < least_pair).withColumn("pair", F.lit(True))
+    return Model(bits, head, head_counts, total.n or 0, total.v, *levels), words.withColumn("pair", F.lit(False)).unionByName(rest)
+
+
+_ROW = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "known": pa.int64(), "plain": pa.float64(),
+        "full": pa.float64(), "h": pa.int64(), "times": pa.int32(), "alone": pa.int32(), "before": pa.int32(), "pair": pa.int64(),
+        "pair_level": pa.int8(), "level1": pa.int8(), "level2": pa.int8(), "word1": pa.int64(), "word2": pa.int64()}
+
+
+def _rows(n: int, **columns) -> pa.RecordBatch:
+    """A batch of _ROW with nulls in the columns not given."""
+    return pa.RecordBatch.from_arrays(
+        [pa.nulls(n, t) if columns.get(c) is None else pa.array(columns[c], t) for c, t in _ROW.items()], list(_ROW))
+
+
+def _by_row(rows: np.ndarray, keys: np.ndarray):
+    """An order by row and key, and where each (row, key) begins in it."""
+    order = np.lexsort((keys, rows))
+    keys, rows = keys[order], rows[order]
+    return order, np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (rows[1:] != rows[:-1])])[:len(keys)])
+
+
+def _measure(m: Model, tokens: np.ndarray, at: np.ndarray, base: int):
+    """Of a run of texts: counts, known tokens, plain and full scores as far as they are at hand, and what leaves to meet its counts.
+
+    The probability of a token after another is (seen + PRIOR * alone) / (before
+    + PRIOR). Its log is a sum: the token's alone, the one before's, and, for
+    bigrams that training texts hold, the log of 1 + seen / (PRIOR * alone).
+    Words that are not at hand add to the first two, and bigrams that are not,
+    or whose words are not, to the last; so each leaves on its own.
+    """
+    own, back = np.unique(tokens, return_inverse=True)
+    counts = m.exact(own)
+    levels = m.word_levels(own, counts)
+    exact, held = counts[back], _estimate(levels)[back]
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    plain = np.where(exact >= 0, np.log10((np.maximum(exact, 0) + 1) / base), 0.0)
+    full = np.log10((held + 1) / base)
+    pairs, places = _pairs(tokens, at)
+    keys, one, of = np.unique(pairs, return_index=True, return_inverse=True)
+    first, second = back[places - 1], back[places]
+    pair_level = m.pair_levels(keys)
+    seen = np.minimum(_estimate(pair_level)[of], held[places - 1])
+    full[places] += np.log10(PRIOR / (held[places - 1] + PRIOR))
+    # a word that the filter may have left out, and so no part of any sum yet
+    lost = (levels == 0) & (m.word_level > 1)
+    away = np.where(pair_level == 0, m.pair_level > 1, lost[first[one]] | lost[second[one]])[of]
+    full[places] += np.where(away, 0.0, np.log10(1 + seen * base / (PRIOR * (held[places] + 1))))
+
+    begins = np.zeros(len(tokens), np.int32)
+    begins[places - 1] = 1
+    out = np.flatnonzero(exact < 0)
+    order, heads = _by_row(row[out], tokens[out])
+    out = out[order]
+    missing, n = lost[back[out]].astype(np.int32), len(heads)
+    words = None if not n else (n, row[out[heads]], {
+        "h": tokens[out[heads]].view(np.int64), "times": np.diff(np.append(heads, len(out))).astype(np.int32),
+        "alone": np.add.reduceat(missing, heads), "before": np.add.reduceat(missing * begins[out], heads)})
+
+    out = np.flatnonzero(away)
+    order, heads = _by_row(row[places[out]], pairs[out])
+    out, n = out[order], len(heads)
+    i = out[heads]
+    bigrams = None if not n else (n, row[places[i]], {
+        "pair": pairs[i].view(np.int64), "times": np.diff(np.append(heads, len(out))).astype(np.int32), "pair_level": pair_level[of[i]].astype(np.int8),
+        "level1": levels[first[i]].astype(np.int8), "level2": levels[second[i]].astype(np.int8),
+        "word1": pa.array(own[first[i]].view(np.int64), mask=~lost[first[i]]),
+        "word2": pa.array(own[second[i]].view(np.int64), mask=~lost[second[i]])})
+    sums = [np.add.reduceat(x, at[:-1]) for x in ((exact > 0).astype(np.int64), plain, full)]
+    return (np.diff(at), *sums), [x for x in (words, bigrams) if x]
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
@@ -240,9 +309,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
     base_score takes exact counts: those of the most frequent words are at hand;
     a text's other words leave as (word, row, times) and meet their counts in a
-    join, whose keys are rare words and so never hot. score comes from probes of
-    the filter only. Cases: a null or empty text is one end; repeated rows and
-    null ids keep their rows; extra columns are not read.
+    join, whose keys are rare words and so never hot. score takes the levels of
+    the filter; words and bigrams that are not in it, and may be too rare for it,
+    leave as well and meet `counts`. Cases: a null or empty text is one
+    end; repeated rows and null ids keep their rows; extra columns are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
     base = model.tokens + model.distinct + 1
@@ -251,42 +321,49 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
         m = Model(*sent.value)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            n = len(batch)
-            n_tokens, known = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            plain, full = np.zeros(n), np.zeros(n)
-            rest: list[tuple] = []
             for i, j, tokens, at in _tokens(batch.column(2)):
-                exact = m.exact(tokens)
-                n_tokens[i:j] = np.diff(at)
-                known[i:j] = np.add.reduceat((exact > 0).astype(np.int64), at[:-1])
-                plain[i:j] = np.add.reduceat(np.where(exact >= 0, np.log10((np.maximum(exact, 0) + 1) / base), 0.0), at[:-1])
-                full[i:j] = np.add.reduceat(m.log_probabilities(tokens, at), at[:-1])
-                away = np.flatnonzero(exact < 0)
-                if len(away):
-                    row = np.searchsorted(at, away, "right") - 1 + i
-                    rest.append((tokens[away].view(np.int64), row + key))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(n) + key), batch.column(0), batch.column(1), pa.array(n_tokens), pa.array(known), pa.array(plain),
-                 pa.array(full), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
-            if rest:
-                words, rows = (np.concatenate([r[i] for r in rest]) for i in (0, 1))
-                order = np.lexsort((words, rows))
-                words, rows = words[order], rows[order]
-                first = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (rows[1:] != rows[:-1])]))
-                k, times = len(first), np.diff(np.append(first, len(words)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[first]), *[pa.nulls(k, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())],
-                     pa.array(words[first]), pa.array(times)], names)
-            key += n
-
-    names = ["row", "doc_id", "held_out", "n_tokens", "known", "plain", "full", "h", "times"]
+                own, leaving = _measure(m, tokens, at, base)
+                own = dict(zip(("n_tokens", "known", "plain", "full"), own))
+                yield _rows(j - i, row=np.arange(i, j) + key, doc_id=batch.column(0)[i:j], held_out=batch.column(1)[i:j], **own)
+                for n, row, columns in leaving:
+                    yield _rows(n, row=row + i + key, **columns)
+            key += len(batch)
+
     rows = cut(docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, known long, plain double, full double, h long, times long"))
-    rare = rows.where("h is not null").select("row", "h", "times").join(counts, "h", "left")
-    rare = rare.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(base)))).alias("rare_plain"))
-    return rows.where("h is null").join(rare, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
+        run, "row long, doc_id long, held_out boolean, n_tokens long, known long, plain double, full double, h long, times int, alone int, "
+             "before int, pair long, pair_level tinyint, level1 tinyint, level2 tinyint, word1 long, word2 long"))
+    words = counts.where("not pair").select("h", "c")
+    middle = _middle(_level(F.col("c")))
+    more = rows.where("h is not null").select("row", "h", "times", "alone", "before").join(words, "h", "left").select(
+        "row", F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"),
+        (F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(base)))).alias("plain"),
+        (F.col("alone") * F.log10(middle + 1) - F.col("before") * F.log10(middle / PRIOR + 1)).alias("full"))
+    if max(model.word_level, model.pair_level) > 1:
+        more = more.unionByName(_bigrams_away(rows, model, counts, base))
+    more = more.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("known", "plain", "full")])
+    return rows.where("n_tokens is not null").join(more, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("plain") + F.coalesce("rare_plain", F.lit(0.0))).alias("base_score"), F.col("full").alias("score"))
+        (F.col("plain") + F.coalesce("more_plain", F.lit(0.0))).alias("base_score"),
+        (F.col("full") + F.coalesce("more_full", F.lit(0.0))).alias("score"))
+
+
+def _bigrams_away(rows: DataFrame, model: Model, counts: DataFrame, base: int) -> DataFrame:
+    """row, known, plain, full: what bigrams add that left their text, from their own counts and their words'."""
+    lone = F.col("word1").isNotNull() | F.col("word2").isNotNull()
+    left = rows.where("pair is not null").select("row", "pair", "times", "pair_level", "level1", "level2", "word1", "word2")
+    named = left.where(lone)
+    for i in (1, 2):
+        # rows without this word get keys of their own, which meet nothing and spread
+        word = counts.where("not pair").select(F.col("h").alias("_w"), F.col("c").alias("_c"))
+        on = (F.coalesce(f"word{i}", F.xxhash64("row", "pair")) == F.col("_w")) & F.col(f"word{i}").isNotNull()
+        named = named.join(word, on, "left").withColumn(f"level{i}", F.coalesce(_level(F.col("_c")).cast("tinyint"), f"level{i}")).drop("_w", "_c")
+    met = (left.where(~lone).unionByName(named) if model.word_level > 1 else left).drop("word1", "word2")
+    if model.pair_level > 1:
+        rest = counts.where("pair").select(F.col("h").alias("pair"), "c")
+        met = met.join(rest, "pair", "left").withColumn(
+            "pair_level", F.when(F.col("pair_level") > 0, F.col("pair_level")).otherwise(_level(F.col("c")).cast("tinyint")))
+    seen, before, alone = (_middle(F.col(c)) for c in ("pair_level", "level1", "level2"))
+    gain = F.log10(1 + F.least(seen, before) * float(base) / (PRIOR * (alone + 1)))
+    return met.where("pair_level > 0").select(
+        "row", F.lit(0).alias("known"), F.lit(0.0).alias("plain"), (F.col("times") * gain).alias("full"))

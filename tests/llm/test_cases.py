@@ -1,6 +1,7 @@
 """Empty tables, nulls, ties, repeated rows, very long texts and clashing column names."""
 
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,6 +159,46 @@ def test_lm_cases(docs, none):
         assert lm.score(marked.limit(0), model, counts).count() == 0
 
 
+@pytest.mark.parametrize("head, entries", [(3, 0), (1 << 20, 6), (0, 40)])
+def test_lm_scores_take_every_bigram_whatever_the_filter_holds(spark, monkeypatch, head, entries):
+    """Against a plain computation; what does not fit into the filter meets its counts in joins."""
+    monkeypatch.setattr(lm, "HEAD_WORDS", head)
+    monkeypatch.setattr(lm, "FILL", min(lm.FILL, 2 * entries / lm.BITS))
+    training = ["a b c a b d", "a b e f", "e f g", "a", "", None, "a b"] * 3 + ["rare words once", "rare words twice", "h a b h"]
+    texts = [*dict.fromkeys(training), "unseen a b c", "rare a once unseen unseen words", "once rare words", "g g a b g", "h a b"]
+
+    def tokens(text):
+        return [*(text or "").split(), None]
+
+    words, pairs = Counter(), Counter()
+    for t in map(tokens, training):
+        words.update(t)
+        pairs.update(zip(t, t[1:]))
+    base = words.total() + len(words) + 1
+
+    def middle(count):
+        return max(1.0, lm.BASE ** (math.floor(math.log(count, lm.BASE) + 1e-9) + 0.5)) if count else 0.0
+
+    def expected(text):
+        total, last = 0.0, None
+        for i, t in enumerate(tokens(text)):
+            p = (middle(words[t]) + 1) / base
+            if i:
+                before = middle(words[last])
+                p = (min(before, middle(pairs[last, t])) + lm.PRIOR * p) / (before + lm.PRIOR)
+            total, last = total + math.log10(p), t
+        return total
+
+    model, counts = lm.learn(spark.createDataFrame([(t,) for t in training], "text string"))
+    asked = spark.createDataFrame([(i, False, t) for i, t in enumerate(texts)], "doc_id long, held_out boolean, text string")
+    found = {r.doc_id: r for r in lm.score(asked, model, counts).collect()}
+    assert len(found) == len(texts)
+    for i, t in enumerate(texts):
+        assert found[i].score == pytest.approx(expected(t), rel=1e-9)
+        assert found[i].base_score == pytest.approx(sum(math.log10((words[x] + 1) / base) for x in tokens(t)), rel=1e-9)
+        assert found[i].n_known == sum(words[x] > 0 for x in tokens(t))
+
+
 def test_decontamination_cases(docs, none, bench):
     rows = decontaminate.summary(docs, bench).collect()
     assert len(rows) == len(ROWS)
