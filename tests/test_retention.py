@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -96,3 +97,24 @@ def test_parts_grow_with_the_assets_and_months_are_listed_behind_them(spark):
     assert rows(log.groupBy("yr", "mnth").agg(F.count("*"), F.sum("db_created_count"), F.sum("db_destroyed_count"))) == [
         (2020, 1, 50_000, 500_000, None), (2020, 2, 50_000, None, 500_000)]
     assert ret.active_users(assets, "2020-01-01", "2020-12-01 00:00:00").rdd.getNumPartitions() >= 5
+
+
+def test_older_counts_take_parts_by_assets_at_every_step(spark, views, monkeypatch):
+    """Session partitions would hold a share of all assets each, however many those are."""
+    monkeypatch.setattr(ret, "parts_for", lambda assets: 7)
+    for frame in (ret.create_counts(views.assets(), s.ASSET_START, s.ASSET_AS_OF), ret.destroy_counts(views.assets(), s.ASSET_START, s.ASSET_AS_OF),
+                  ret.active_users(views.assets(), s.ASSET_START, s.ASSET_AS_OF)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert set(re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\)", plan)) == {"7"}
+
+
+def test_month_counts_take_an_asset_once(spark):
+    rows = [(1, "a", 1, 2), (1, "a", 1, 2), (2, "a", 1, None), (3, None, 2, 3), (3, None, 2, 3), (None, "a", 1, 2)]
+    at = [f"timestamp_ntz '2000-0{m}-05 10:00:00'" for m in (1, 2, 3)]
+    moment = lambda c: F.expr(f"case {c} " + " ".join(f"when {i} then {x}" for i, x in enumerate(at, 1)) + " end").cast("timestamp")
+    assets = spark.createDataFrame(rows, "dbid long, email string, b int, d int").select(
+        "dbid", "email", moment("b").alias("db_created_at"), moment("d").alias("db_destroyed_at"))
+    made = ret.create_counts(assets, "1999-01-01", "2001-01-01 00:00:00")
+    gone = ret.destroy_counts(assets, "1999-01-01", "2001-01-01 00:00:00")
+    assert {tuple(r) for r in made.collect()} == {(2000, 1, "a", 2), (2000, 2, None, 1)}
+    assert {tuple(r) for r in gone.collect()} == {(2000, 2, "a", 1), (None, None, "a", 0), (2000, 3, None, 1)}
