@@ -1,8 +1,11 @@
 """Empty tables, nulls, ties, repeated rows, very long texts and clashing column names."""
 
 import math
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -150,6 +153,29 @@ def test_fixity_cases(spark):
     assert fixity.audit(fixity.records(pages), fixity.records(struck)).count() == 1
 
 
+def test_shared_hashes_move_once(spark):
+    heads = spark.createDataFrame([(1, 9, 5), (2, 9, 5), (2, 9, 6), (3, 9, 7), (4, 9, 5)], "id long, n long, token long")
+    shared = jaccard._shared(heads)
+    assert sorted(tuple(r) for r in shared.select("id", "n", "token", "df").collect()) == [(1, 9, 5, 3), (2, 9, 5, 3), (4, 9, 5, 3)]
+    assert shared._jdf.queryExecution().sparkPlan().toString().count("Join") == 0
+
+
+def test_quality_scores_hold_one_run_of_texts_at_a_time():
+    some = np.random.default_rng(1)
+    column = pa.array([" ".join(f"w{x}" for x in some.integers(0, 100_000, 300)) for _ in range(3000)] + [None, "", "x" * (2 << 20)])
+    given = np.where(np.arange(len(column)) % 3 == 0, np.nan, np.arange(len(column)) * 1.0)
+    size = (1 << quality.WORD_BITS) + (quality.BINS + 1) * len(quality.STATS)
+    machine = quality.Machine(np.sort(some.random((len(quality.STATS), quality.BINS)), 1), 0.1, some.normal(size=size), some.normal(size=(size, quality.RANK)))
+    whole = machine.score(*quality.features(column, given))
+    tracemalloc.start()
+    found = quality.scores(machine, column, given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(found, whole)
+    assert peak < 100 << 20
+    assert len(quality.scores(machine, column[:0], given[:0])) == 0
+
+
 def test_lm_cases(docs, none):
     marked = docs.withColumn("held_out", F.lit(False))
     for training in (docs, none):
