@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import SPACES, components, cut, mix, word_slices
 
@@ -186,12 +186,9 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
     least = F.expr(f"{overlap} - (({percent} * {overlap} + 99) div 100) + 1")
     # the other members of a class leave; their ids are few against the texts, and broadcast where that holds
     others = full.select("doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"]).where("doc_id <> class_id").select("doc_id").distinct()
-    heads = full.join(_small(others), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", "head", least.alias("least"))
-    rows = heads.select("id", "n", "least", F.explode("head").alias("token"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    common = rows.join(shared, "token")
-    living = common.groupBy("id", "n", "least").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens")).where(F.size("tokens") >= F.col("least"))
+    heads = full.join(_small(others), "doc_id", "left_anti").select(F.col("doc_id").alias("id"), "n", F.explode("head").alias("token"))
+    living = _shared(heads).groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    living = living.withColumn("least", least).where(F.size("tokens") >= F.col("least"))
     # A partner shares `least` of a class's shared hashes, so it shares one of those left after the `least` - 1
     # most frequent ones. Hashes that no other class has come first in that order and are left out already.
     living = cut(living.select("id", "n", "least", F.sort_array(F.col("tokens.token")).alias("shared"), F.expr(
@@ -229,6 +226,14 @@ def jaccard_join(docs: DataFrame, k: int = 3, percent: int = 90) -> DataFrame:
                          F.when(known, F.coalesce("component", "class_id", "doc_id")).alias("component_id"))
 
 
+def _shared(heads: DataFrame) -> DataFrame:
+    """The rows (id, n, token) whose hash others have too, and how many rows have it (df).
+
+    Rows move once: they are counted where those of a hash meet.
+    """
+    return heads.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
+
+
 def _small(ids: DataFrame) -> DataFrame:
     """Ids to be broadcast if a count shows that they are few; otherwise they join by a shuffle."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
