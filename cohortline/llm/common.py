@@ -19,7 +19,8 @@ SPACES = bytes([0x20, *range(0x09, 0x0E)])
 # The separators of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`, after lower-casing A-Z.
 NOT_ALNUM = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
 
-SLICE_BYTES = 1 << 20
+#: Bytes of text that are worked on at once in a task; some fifty times as much memory is taken, and kept by the worker.
+SLICE_BYTES = 1 << 18
 _U = np.uint64
 _STEP, _MIX1, _MIX2 = _U(0x9E3779B97F4A7C15), _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _BASE = 0xD6E8FEB86659FD93
@@ -91,6 +92,17 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return at - at[0], raw[at[0]: at[-1]]
 
 
+def slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first text, last text + 1) of short runs of whole texts of a string column."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i, n = 0, len(ends)
+    while i < n:
+        before = ends[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield i, j
+        i = j
+
+
 def _split(data: np.ndarray, offsets: np.ndarray, separators: bytes):
     """Word hashes, starts, ends and words per text of a short run of texts."""
     is_sep = np.zeros(256, bool)

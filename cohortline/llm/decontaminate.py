@@ -143,35 +143,35 @@ def _automaton(items: list, window: int):
     return vocabulary, vars(automaton), min(window, min(len(w) for _, w in items))
 
 
-def _matches(vocabulary, automaton, least, column, memo: dict):
-    """(text, hit spans in words, items, longest match) of each text with a hit, and every text's number of words."""
-    for i, j, hashes, starts, ends, at, data in word_slices(column, NOT_ALNUM):
-        found: dict[int, list] = {}
-        if len(hashes):
-            ids = np.searchsorted(vocabulary, hashes)
-            ids[ids == len(vocabulary)] = 0
-            known = vocabulary[ids] == hashes
-            edge = np.zeros(len(known) + 1, bool)
-            edge[at] = True
-            edge[1:-1] |= known[1:] != known[:-1]
-            edges = np.flatnonzero(edge)
-            begin, end = edges[:-1], edges[1:]
-            keep = known[begin] & (end - begin >= least)
-            for b, e in zip(begin[keep].tolist(), end[keep].tolist()):
-                run = ids[b:e]
-                key = run.tobytes()
-                if key not in memo:
-                    if len(memo) > 20_000:
-                        memo.clear()
-                    memo[key] = automaton.scan(run.tolist())
-                spans, items, longest = memo[key]
-                if spans:
-                    d = int(np.searchsorted(at, b, "right")) - 1
-                    mine = found.setdefault(d, [[], set(), 0])
-                    mine[0] += [(b - int(at[d]) + s, b - int(at[d]) + t) for s, t in spans]
-                    mine[1] |= items
-                    mine[2] = max(mine[2], longest)
-        yield i, j, np.diff(at), found, starts, ends, at, data
+def _matches(vocabulary, automaton, least, hashes, at, memo: dict) -> dict[int, list]:
+    """Hit spans in words, items and longest match of each text with a hit, of a run of texts."""
+    found: dict[int, list] = {}
+    if not len(hashes):
+        return found
+    ids = np.searchsorted(vocabulary, hashes)
+    ids[ids == len(vocabulary)] = 0
+    known = vocabulary[ids] == hashes
+    edge = np.zeros(len(known) + 1, bool)
+    edge[at] = True
+    edge[1:-1] |= known[1:] != known[:-1]
+    edges = np.flatnonzero(edge)
+    begin, end = edges[:-1], edges[1:]
+    keep = known[begin] & (end - begin >= least)
+    for b, e in zip(begin[keep].tolist(), end[keep].tolist()):
+        run = ids[b:e]
+        key = run.tobytes()
+        if key not in memo:
+            if len(memo) > 20_000:
+                memo.clear()
+            memo[key] = automaton.scan(run.tolist())
+        spans, items, longest = memo[key]
+        if spans:
+            d = int(np.searchsorted(at, b, "right")) - 1
+            mine = found.setdefault(d, [[], set(), 0])
+            mine[0] += [(b - int(at[d]) + s, b - int(at[d]) + t) for s, t in spans]
+            mine[1] |= items
+            mine[2] = max(mine[2], longest)
+    return found
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -184,6 +184,43 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+_NEW = ("n_words", "hits", "items", "longest")
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, window: int, most_words: int, finish=None) -> DataFrame:
+    """The rows of docs with the columns of _NEW; finish(batch, hits, starts, at, bytes) may change a run of them.
+
+    All that is done to a text is done in one pass of Python, by short runs of
+    texts, so a task holds one worker and what a run takes, whatever the size of
+    an Arrow batch and the number of automata.
+    """
+    columns = [c for c in docs.columns if c not in _NEW]
+    spark = docs.sparkSession
+    out = docs.select(*[f"`{c}`" for c in columns], F.lit(0).cast("long").alias("n_words"),
+                      F.expr("cast(array() as array<struct<s:bigint,t:bigint>>)").alias("hits"),
+                      F.expr("cast(array() as array<string>)").alias("items"), F.lit(0).cast("long").alias("longest"))
+    sent = [spark.sparkContext.broadcast(_automaton(part, window)) for part in _item_words(benchmark, most_words)]
+
+    def run(batches):
+        each = [(vocabulary, SuffixAutomaton(window, parts), least, {}) for vocabulary, parts, least in (b.value for b in sent)]
+        for batch in batches:
+            for i, j, hashes, starts, _, at, data in word_slices(batch.column(batch.schema.get_field_index("text")), NOT_ALNUM):
+                hits, items, longest = [[] for _ in range(i, j)], [[] for _ in range(i, j)], [0] * (j - i)
+                for vocabulary, automaton, least, memo in each:
+                    for d, (spans, names, most) in _matches(vocabulary, automaton, least, hashes, at, memo).items():
+                        hits[d] = _merge(spans + hits[d])
+                        items[d] = sorted({*names, *items[d]})
+                        longest[d] = max(most, longest[d])
+                rows = batch.slice(i, j - i)
+                made = dict(zip(_NEW, (np.diff(at), [[{"s": s, "t": t} for s, t in x] for x in hits], items, longest)))
+                rows = pa.RecordBatch.from_arrays(
+                    [pa.array(made[f.name], f.type) if f.name in made else rows.column(k) for k, f in enumerate(rows.schema)],
+                    schema=rows.schema)
+                yield finish(rows, hits, starts, at, data) if finish else rows
+
+    return out.mapInArrow(run, out.schema)
+
+
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                   most_words: int = AUTOMATON_WORDS) -> DataFrame:
     """The rows of docs with n_words, hits (from, to in words, merged), items (sorted ids) and longest (match in words).
@@ -192,43 +229,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     A window is `window` consecutive words of an item, or a shorter item whole; a
     word inside any occurrence of a window is hit. The automaton of the items is
     broadcast; more items than `most_words` words make several automata, which
-    the texts pass one after the other. Cases: null texts have no words; null
-    items and items without words have no window; a null item_id takes no part;
-    repeated items give their id once; rows, columns and order are kept. Columns
-    of docs that are named like the new ones are replaced.
+    each run of texts passes one after the other. Cases: null texts have no
+    words; null items and items without words have no window; a null item_id
+    takes no part; repeated items give their id once; rows, columns and order are
+    kept. Columns of docs that are named like the new ones are replaced.
     """
-    new = ("n_words", "hits", "items", "longest")
-    columns = [c for c in docs.columns if c not in new]
-    spark = docs.sparkSession
-    out = docs.select(*[f"`{c}`" for c in columns], F.lit(0).cast("long").alias("n_words"),
-                      F.expr("cast(array() as array<struct<s:bigint,t:bigint>>)").alias("hits"),
-                      F.expr("cast(array() as array<string>)").alias("items"), F.lit(0).cast("long").alias("longest"))
-    parts = list(_item_words(benchmark, most_words)) or [[("", [])]]
-    for part in parts:
-        sent = spark.sparkContext.broadcast(_automaton(part, window) if part[0][1] else None)
-
-        def run(batches, sent=sent):
-            vocabulary, parts, least = sent.value or (np.zeros(1, np.uint64), {}, 1 << 60)
-            automaton, memo = SuffixAutomaton(window, parts), {}
-            for batch in batches:
-                if not len(batch):
-                    continue
-                name = batch.schema.get_field_index
-                old = [batch.column(name(c)).to_pylist() for c in new[1:]]
-                n_words, hits, items, longest = [], *old
-                for i, j, counts, found, *_ in _matches(vocabulary, automaton, least, batch.column(name("text")), memo):
-                    n_words += counts.tolist()
-                    for d, (spans, names, most) in found.items():
-                        hits[i + d] = [{"s": s, "t": t} for s, t in _merge(spans + [(x["s"], x["t"]) for x in hits[i + d]])]
-                        items[i + d] = sorted({*names, *items[i + d]})
-                        longest[i + d] = max(most, longest[i + d])
-                made = dict(zip(new, (n_words, hits, items, longest)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(made[f.name], f.type) if f.name in made else batch.column(k) for k, f in enumerate(batch.schema)],
-                    schema=batch.schema)
-
-        out = out.mapInArrow(run, out.schema)
-    return out
+    return _overlaps(docs, benchmark, window, most_words)
 
 
 def summary(docs: DataFrame, benchmark: DataFrame, window: int = 10, **options) -> DataFrame:
@@ -241,39 +247,29 @@ def summary(docs: DataFrame, benchmark: DataFrame, window: int = 10, **options)
 
 
 def remove_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5,
-                    **options) -> DataFrame:
+                    most_words: int = AUTOMATON_WORDS) -> DataFrame:
     """docs without the hit spans; documents of which more than `max_coverage` of the words are hit go.
 
     A span goes with what follows it up to the next word. n_chars, where there is
     such a column, is counted anew for changed texts. Other rows are unchanged.
     """
-    found = find_overlaps(docs, benchmark, window, **options)
-    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, x: n + x["t"] - x["s"])
-    found = found.where(n_hit <= max_coverage * F.col("n_words"))
-
-    def run(batches):
-        for batch in batches:
-            name = batch.schema.get_field_index
-            hits, column = batch.column(name("hits")).to_pylist(), batch.column(name("text"))
-            if any(hits):
-                cleaned, (offsets, _) = column.to_pylist(), texts(column)
-                for i, j, _, starts, ends, at, data in word_slices(column, NOT_ALNUM):
-                    for d in range(i, j):
-                        if hits[d]:
-                            own = starts[at[d - i]: at[d - i + 1]]
-                            raw = np.frombuffer(cleaned[d].encode(), np.uint8)
-                            edges = np.append(own - (offsets[d] - offsets[i]), len(raw))
-                            keep = np.ones(len(raw), bool)
-                            for h in hits[d]:
-                                keep[edges[h["s"]]: edges[h["t"]]] = False
-                            cleaned[d] = raw[keep].tobytes().decode()
-                column = pa.array(cleaned, column.type)
-            yield pa.RecordBatch.from_arrays(
-                [column if f.name == "text" else batch.column(k) for k, f in enumerate(batch.schema)], schema=batch.schema)
-
-    cleaned = found.mapInArrow(run, found.schema)
+    def finish(rows, hits, starts, at, data):
+        n_hit = np.array([sum(t - s for s, t in x) for x in hits], np.int64)
+        if n_hit.any():
+            k = rows.schema.get_field_index("text")
+            (offsets, _), cleaned = texts(rows.column(k)), rows.column(k).to_pylist()
+            for d in np.flatnonzero(n_hit).tolist():
+                raw = data[offsets[d]: offsets[d + 1]]
+                edges = np.append(starts[at[d]: at[d + 1]] - offsets[d], len(raw))
+                keep = np.ones(len(raw), bool)
+                for s, t in hits[d]:
+                    keep[edges[s]: edges[t]] = False
+                cleaned[d] = raw[keep].tobytes().decode()
+            rows = rows.set_column(k, rows.schema.field(k), pa.array(cleaned, rows.schema.field(k).type))
+        return rows.filter(pa.array(n_hit <= max_coverage * np.diff(at)))
+
+    cleaned = _overlaps(docs, benchmark, window, most_words, finish)
     if "n_chars" in docs.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.size("hits") > 0, F.length("text")).otherwise(
             F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*[f"`{c}`" for c in docs.columns])
-

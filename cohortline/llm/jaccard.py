@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import SPACES, components, cut, mix, word_slices
+from .common import SPACES, components, cut, mix, slices, word_slices
 
 _U = np.uint64
 _C1, _C2 = _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)
@@ -60,20 +60,19 @@ def _signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, n, digest of the set (two longs), and its 2d + 1 smallest hashes."""
     def run(batches):
         for batch in batches:
-            ids, rows = batch.column(0), ([], [], [], [])
-            for _, s in _sets(batch.column(1), k):
-                n = len(s)
-                u = s.view(_U)
-                rows[0].append(n)
-                rows[1].append(int(mix(u ^ _C1).sum(dtype=_U).view(np.int64)) if n else 0)
-                rows[2].append(int(mix(u ^ _C2).sum(dtype=_U).view(np.int64)) if n else 0)
-                rows[3].append(s[: 2 * (n - least_overlap(n, percent)) + 1])
-            if not ids:
-                continue
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in rows[3]])]).astype(np.int32)
-            heads = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows[3])))
-            yield pa.RecordBatch.from_arrays(
-                [ids, *[pa.array(x, pa.int64()) for x in rows[:3]], heads], ["doc_id", "n", "d1", "d2", "head"])
+            for i, j in slices(batch.column(1)):
+                rows = ([], [], [], [])
+                for _, s in _sets(batch.column(1).slice(i, j - i), k):
+                    n = len(s)
+                    u = s.view(_U)
+                    rows[0].append(n)
+                    rows[1].append(int(mix(u ^ _C1).sum(dtype=_U).view(np.int64)) if n else 0)
+                    rows[2].append(int(mix(u ^ _C2).sum(dtype=_U).view(np.int64)) if n else 0)
+                    rows[3].append(s[: 2 * (n - least_overlap(n, percent)) + 1])
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in rows[3]])]).astype(np.int32)
+                heads = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows[3])))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, j - i), *[pa.array(x, pa.int64()) for x in rows[:3]], heads], ["doc_id", "n", "d1", "d2", "head"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n long, d1 long, d2 long, head array<long>")

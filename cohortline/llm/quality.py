@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SLICE_BYTES, SPACES, texts, word_slices
+from .common import SPACES, slices, texts, word_slices
 from .toxicity import labelled_sample
 
 WORD_BITS = 13
@@ -160,12 +160,7 @@ def learn(docs: DataFrame, labels: DataFrame, held_out, most_labelled: int = MOS
 
 def scores(machine: Machine, column: pa.Array, given: np.ndarray) -> np.ndarray:
     """The machine's scores of the texts, by runs of them: a run's features take some twenty times its bytes."""
-    offsets, _ = texts(column)
-    found, i = [np.zeros(0)], 0
-    while i < len(column):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
-        found.append(machine.score(*features(column[i:j], given[i:j])))
-        i = j
+    found = [np.zeros(0), *(machine.score(*features(column[i:j], given[i:j])) for i, j in slices(column))]
     return np.concatenate(found)
 
 
@@ -186,6 +181,7 @@ def score(docs: DataFrame, machine: Machine, column: str = "quality_score") -> D
             name = batch.schema.get_field_index
             given = batch.column(name("__given")).to_numpy(zero_copy_only=False).astype(float)
             found = scores(model, batch.column(name("text")), given)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.float64())], names=batch.schema.names[:-1])
+            scored = pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(found, pa.float64())], names=batch.schema.names[:-1])
+            yield from (scored.slice(i, j - i) for i, j in slices(batch.column(name("text"))))
 
     return out.mapInArrow(run, result.schema)

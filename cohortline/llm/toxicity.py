@@ -10,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .common import slices
+
 # Letters that look like Latin ones, and digits and signs that stand for letters. i and l share the
 # letter i, since 1, | and ! stand for both.
 _LOOKS = {
@@ -255,7 +257,9 @@ def score(docs: DataFrame, lexicon: Lexicon, column: str = "toxicity") -> DataFr
         automaton = lexicon.automaton()
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            scores = [lexicon.score(t or "", automaton) for t in batch.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], schema=batch.schema)
+            for i, j in slices(batch.column(at)):
+                rows = batch.slice(i, j - i)
+                scores = [lexicon.score(t or "", automaton) for t in rows.column(at).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(scores, pa.float64())], schema=batch.schema)
 
     return out.mapInArrow(run, out.schema)

@@ -235,3 +235,19 @@ def test_decontamination_cases(docs, none, bench):
     assert left.columns == docs.columns and left.count() == len(ROWS)
     assert left.where("doc_id = 1").first()["text"].split() == ["a", "f", "g"]
     assert decontaminate.remove_overlaps(docs, bench).count() == len(ROWS) - 4
+
+
+def test_overlaps_are_removed_in_one_pass_whatever_the_number_of_automata(spark):
+    """Over many texts in one Arrow batch, some with hits of two automata; a task needs one Python worker."""
+    items = [("q1", "alpha beta gamma"), ("q2", "delta epsilon"), ("q3", "mu nu")]
+    said = ["one alpha beta gamma two", "delta Epsilon, three four mu nu five", None, "", "éа six mu  nu", "mu nu"]
+    docs = spark.createDataFrame([(i, said[i % 6], 7) for i in range(9_000)] + [(9_000, "x " * 900_000 + "mu nu y", 7)],
+                                 "doc_id long, text string, n_chars long").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for most in (2, 1000):
+        left = decontaminate.remove_overlaps(docs, bench, window=3, max_coverage=0.6, most_words=most)
+        assert left._jdf.queryExecution().sparkPlan().toString().count("MapInArrow") == 1
+        rows = {r.doc_id: (r.text, r.n_chars) for r in left.collect()}
+        assert [rows.get(i) for i in range(6)] == [("one two", 7), ("three four five", 15), (None, 7), ("", 7), ("éа six ", 7), None]
+        assert len(rows) == 7_501 and all(rows.get(i) == rows.get(i % 6) for i in range(9_000))
+        assert rows[9_000][0] == "x " * 900_000 + "y"
