@@ -4,17 +4,21 @@ The filter holds, for an n-gram of count c, the pairs (n-gram, 1) ... (n-gram, q
 with q = 1 + floor(log_b c). Its level is read back by probing 1, 2, ... until
 one is absent. The filter has a fixed number of bits and is broadcast; what it
 holds is chosen from exact counts over all training texts: all words and
-bigrams of at least the least count at which they fit. The rarer ones stay in
-tables, and texts meet them there in joins, at the same quantised counts.
+bigrams of at least the least count at which they fit. The rarer words stay in a
+table, and texts meet them there in joins. The rarer bigrams stay where they
+were counted: counts are dealt by ranges of the bigrams' hashes, as sorted runs,
+and the texts' bigrams follow them there once, at the same quantised counts.
 """
 
 from __future__ import annotations
 
 import math
+from operator import add
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import SPACES, cut, mix, word_slices
@@ -31,6 +35,11 @@ PROBES = 2
 FILL = 1 / 8
 #: Most frequent words whose exact counts are broadcast (16 MB); the others' counts are joined.
 HEAD_WORDS = 1 << 20
+#: Tokens of the training texts for each part of the counts of bigrams, and parts of the filter while it is made.
+PART_TOKENS = 1 << 20
+REGIONS = 16
+#: Bigrams, and texts, whose counts a task asks for at once; rows of texts that are put together at once.
+ASKED, ASKED_TEXTS, BLOCK_ROWS = 1 << 19, 1 << 16, 1 << 10
 #: Weight of the word's own probability against the counts after the word before.
 PRIOR = 200.0
 
@@ -109,10 +118,10 @@ class _Counts:
         self.held = [(keys[first], np.add.reduceat(counts, first))]
         self.n = len(first)
 
-    def _batch(self) -> pa.RecordBatch:
+    def _batch(self) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = self.held[0]
         self.held, self.n = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], ["h", "c"])
+        return keys, counts.astype(np.int64)
 
     def rest(self):
         if self.n:
@@ -120,20 +129,114 @@ class _Counts:
             yield self._batch()
 
 
+def _counted(batches, keys_of):
+    """(sorted keys, counts) of the keys that keys_of(tokens, at) gives in the texts; a key may come again later."""
+    counts = _Counts()
+    for batch in batches:
+        for _, _, tokens, at in _tokens(batch.column(0)):
+            keys = keys_of(tokens, at)
+            if len(keys):
+                yield from counts.add(keys)
+    yield from counts.rest()
+
+
 def _count(docs: DataFrame, keys_of) -> DataFrame:
     """h, c: how often each key that keys_of(tokens, at) gives occurs in the texts."""
     def run(batches):
-        counts = _Counts()
-        for batch in batches:
-            for _, _, tokens, at in _tokens(batch.column(0)):
-                keys = keys_of(tokens, at)
-                if len(keys):
-                    yield from counts.add(keys)
-        yield from counts.rest()
+        for keys, counts in _counted(batches, keys_of):
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["h", "c"])
 
     return docs.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of integers from 0 as compressed bytes: the lowest bytes of a column, then the next ones, up to its highest."""
+    out = []
+    for x in columns:
+        width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+        out += [bytes([width]), np.ascontiguousarray(x.astype(_U)).view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
+    whole = b"".join(out)
+    return len(columns[0]).to_bytes(8, "little") + len(whole).to_bytes(8, "little") + pa.compress(whole, "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, columns: int) -> list[np.ndarray]:
+    """:func:`_pack` undone."""
+    n, size = (int.from_bytes(packed[i: i + 8], "little") for i in (0, 8))
+    whole, at, out = pa.decompress(packed[16:], size, "zstd", asbytes=True), 0, []
+    for _ in range(columns):
+        width = whole[at]
+        each = np.zeros((n, 8), np.uint8)
+        each[:, :width] = np.frombuffer(whole, np.uint8, n * width, at + 1).reshape(width, n).T
+        out.append(each.view(_U).ravel())
+        at += 1 + n * width
+    return out
+
+
+def _steps(keys: np.ndarray, base: int) -> np.ndarray:
+    """Sorted keys as the first one's distance from base and the distances from one to the next."""
+    return np.diff(keys, prepend=_U(base))
+
+
+def _part(key: int) -> int:
+    return key
+
+
+def _bases(parts: int) -> list[int]:
+    """The first hash of each part."""
+    return [-(-(p << 32) // parts) << 32 for p in range(parts)]
+
+
+def _dealt(keys: np.ndarray, parts: int):
+    """(part, its first hash, from, to) of sorted keys."""
+    bases = _bases(parts)
+    at = [*np.searchsorted(keys, np.array(bases, _U)).tolist(), len(keys)]
+    return [(p, bases[p], at[p], at[p + 1]) for p in range(parts) if at[p] < at[p + 1]]
+
+
+def _placed(frame: DataFrame, parts: int) -> RDD:
+    """(part, kind, bytes) of the columns part and kind and packed, each at its part."""
+    return frame.select("part", "kind", "packed").rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(parts, _part)
+
+
+_PLACED = "part int, kind int, packed binary"
+_COUNTS, _ASKED, _OWN, _WORDS, _LOST = range(5)
+
+
+def _placed_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["part", "kind", "packed"])
+
+
+def _count_in_parts(docs: DataFrame, keys_of, parts: int) -> RDD:
+    """:func:`_count`, with each key at the part of its hash, in sorted runs; kept as a shuffle, which later jobs read again."""
+    def run(batches):
+        for keys, counts in _counted(batches, keys_of):
+            yield _placed_batch([(p, _COUNTS, _pack(_steps(keys[i:j], base), counts[i:j] - 1)) for p, base, i, j in _dealt(keys, parts)])
+
+    return _placed(docs.select("text").mapInArrow(run, _PLACED), parts)
+
+
+def _merged(runs: list[bytes], base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted keys of a part and their counts over all runs."""
+    if not runs:
+        return np.zeros(0, _U), np.zeros(0, np.int64)
+    both = [_unpack(x, 2) for x in runs]
+    keys = np.concatenate([np.cumsum(k, dtype=_U) + _U(base) for k, _ in both])
+    counts = np.concatenate([c.view(np.int64) + 1 for _, c in both])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+def _by_part(rows) -> dict[int, dict[int, list[bytes]]]:
+    """What has come to a task, by part and kind."""
+    found: dict[int, dict[int, list[bytes]]] = {}
+    for part, (kind, packed) in rows:
+        found.setdefault(part, {}).setdefault(kind, []).append(packed)
+    return found
+
+
 class Model:
     """Broadcast parts of a model: the filter, the most frequent words' exact counts, totals, and the least levels in the filter.
 
@@ -168,41 +271,66 @@ class Model:
         return self._held(pairs, self.pair_level)
 
 
-def _filter(tables: list[tuple[DataFrame, int]], spark) -> np.ndarray:
-    """The filter's words: bits are set on the workers, merged by bit_or; at most BITS / 64 rows come back."""
-    def run(batches):
+def _filter(words: DataFrame, least_word: int, bigrams: RDD, least_pair: int, parts: int) -> np.ndarray:
+    """The filter's words: bits are set on the workers, met by regions of the filter and sent as such."""
+    size = BITS // REGIONS
+
+    def places(keys: np.ndarray, counts: np.ndarray):
+        for i in range(0, len(keys), ASKED):
+            q = level(counts[i: i + ASKED])
+            each = np.repeat(keys[i: i + ASKED], q)
+            levels = np.arange(len(each)) - np.repeat(np.cumsum(q) - q, q) + 1
+            at = np.unique(_positions(each, levels))
+            edges = np.searchsorted(at, np.arange(REGIONS + 1, dtype=_U) * _U(size)).tolist()
+            for r in range(REGIONS):
+                if edges[r] < edges[r + 1]:
+                    yield r, _pack(_steps(at[edges[r]: edges[r + 1]], r * size))
+
+    def of_words(batches):
         for batch in batches:
-            counts = batch.column(1).to_numpy()
-            q = level(counts)
-            keys = np.repeat(batch.column(0).to_numpy().view(_U), q)
-            levels = np.arange(len(keys)) - np.repeat(np.cumsum(q) - q, q) + 1
-            at = np.unique(_positions(keys, levels))
-            word = (at >> _U(6)).astype(np.int64)
-            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
-            bits = np.bitwise_or.reduceat(_U(1) << (at & _U(63)), first) if len(word) else np.zeros(0, _U)
-            yield pa.RecordBatch.from_arrays([pa.array(word[first].astype(np.int32)), pa.array(bits.view(np.int64))], ["word", "bits"])
-
-    set_bits = None
-    for table, least in tables:
-        part = table.where(F.col("c") >= least).select("h", "c").mapInArrow(run, "word int, bits long")
-        set_bits = part if set_bits is None else set_bits.unionByName(part)
-    rows = set_bits.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+            found = places(batch.column(0).to_numpy().view(_U), batch.column(1).to_numpy())
+            if rows := [(r, _COUNTS, x) for r, x in found]:
+                yield _placed_batch(rows)
+
+    def of_bigrams(rows):
+        for p, found in _by_part(rows).items():
+            keys, counts = _merged(found[_COUNTS], _bases(parts)[p])
+            yield from places(keys[counts >= least_pair], counts[counts >= least_pair])
+
+    def met(rows):
+        there: dict[int, np.ndarray] = {}
+        for r, x in rows:
+            there.setdefault(r, np.zeros(size, bool))[np.cumsum(_unpack(x, 1)[0], dtype=_U).astype(np.int64)] = True
+        return [(r, np.packbits(x, bitorder="little").tobytes()) for r, x in there.items()]
+
+    table = words.where(F.col("c") >= least_word).select("h", "c").mapInArrow(of_words, _PLACED)
+    both = table.rdd.map(lambda r: (r[0], bytes(r[2]))).union(bigrams.mapPartitions(of_bigrams))
     filled = np.zeros(BITS // 64, _U)
-    filled[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(_U)
+    for r, x in both.partitionBy(REGIONS, _part).mapPartitions(met).collect():
+        filled[r * size // 64: (r + 1) * size // 64] = np.frombuffer(x, _U)
     return filled
 
 
-def _least_count(table: DataFrame, room: float) -> tuple[int, float]:
+def _least_count(entries: dict[int, int], room: float) -> tuple[int, float]:
     """The least count at which all keys of at least that count fit in `room` entries (1 if all do), and the entries they take."""
-    by_count = table.groupBy(F.least(F.col("c"), F.lit(10_000)).alias("c")).agg(F.sum(_level(F.col("c"))).alias("entries")).collect()
     least, taken = 10_001, 0.0
-    for row in sorted(by_count, key=lambda r: -r.c):
-        if taken + row.entries > room:
+    for count in sorted(entries, reverse=True):
+        if taken + entries[count] > room:
             return least, taken
-        least, taken = row.c, taken + row.entries
+        least, taken = count, taken + entries[count]
     return 1, taken
 
 
+def _entries(bigrams: RDD, parts: int) -> dict[int, int]:
+    """Entries that the keys of each count (of 10,000 and more: together) would take."""
+    def run(rows):
+        for p, found in _by_part(rows).items():
+            counts, n = np.unique(_merged(found[_COUNTS], _bases(parts)[p])[1], return_counts=True)
+            yield from zip(np.minimum(counts, 10_000).tolist(), (n * level(counts)).tolist())
+
+    return dict(bigrams.mapPartitions(run).reduceByKey(add).collect())
+
+
 def _level(count: Column) -> Column:
     """:func:`level` of a column."""
     return F.floor(F.log(count.cast("double")) / math.log(BASE) + 1e-9) + 1
@@ -213,38 +341,137 @@ def _middle(levels: Column) -> Column:
     return F.when(levels > 0, F.greatest(F.lit(1.0), F.pow(F.lit(BASE), levels - 0.5))).otherwise(F.lit(0.0))
 
 
-def learn(training: DataFrame) -> tuple[Model, DataFrame]:
-    """A model of the texts (column text), and the exact counts (h, c, pair) of all their tokens and of the bigrams that the filter leaves out.
+class Counts(NamedTuple):
+    """Exact counts of the training texts: h, c of all words, and the bigrams' at their parts."""
+
+    words: DataFrame
+    bigrams: RDD
+    parts: int
+
+
+def learn(training: DataFrame) -> tuple[Model, Counts]:
+    """A model of the texts (column text), and the exact counts of all their tokens and bigrams.
 
-    All words and all bigrams are counted, as written tables. The filter takes
-    the most frequent ones; every other keeps its count in its table. Cases: a
+    All words are counted in a written table, all bigrams in a shuffle by ranges
+    of their hashes, whose parts grow with the texts. The filter takes the most
+    frequent ones; every other is met by the texts at its own count. Cases: a
     null or empty text is one end; without training texts every count is 0.
     """
-    spark = training.sparkSession
     words = cut(_count(training, lambda tokens, at: tokens))
     total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     top = words.orderBy(F.desc("c"), "h").limit(HEAD_WORDS).toArrow()
     head = top["h"].to_numpy().view(_U)
     order = np.argsort(head)
     head, head_counts = head[order], top["c"].to_numpy()[order]
-    least_word, taken = _least_count(words, BITS * FILL / 2)
-    bigrams = cut(_count(training, lambda tokens, at: _pairs(tokens, at)[0]))
-    least_pair, _ = _least_count(bigrams, BITS * FILL - taken)
-    bits = _filter([(words, least_word), (bigrams, least_pair)], spark)
+    by_count = words.groupBy(F.least(F.col("c"), F.lit(10_000)).alias("c")).agg(F.sum(_level(F.col("c"))).alias("entries")).collect()
+    least_word, taken = _least_count({r.c: r.entries for r in by_count}, BITS * FILL / 2)
+    parts = max(int(training.sparkSession.conf.get("spark.sql.shuffle.partitions")), (total.n or 0) // PART_TOKENS)
+    bigrams = _count_in_parts(training, lambda tokens, at: _pairs(tokens, at)[0], parts)
+    least_pair, _ = _least_count(_entries(bigrams, parts), BITS * FILL - taken)
+    bits = _filter(words, least_word, bigrams, least_pair, parts)
     levels = [int(level(np.array([c]))[0]) for c in (least_word, least_pair)]
-    rest = bigrams.where(F.col("c") < least_pair).withColumn("pair", F.lit(True))
-    return Model(bits, head, head_counts, total.n or 0, total.v, *levels), words.withColumn("pair", F.lit(False)).unionByName(rest)
+    return Model(bits, head, head_counts, total.n or 0, total.v, *levels), Counts(words, bigrams, parts)
 
 
-_ROW = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "known": pa.int64(), "plain": pa.float64(),
-        "full": pa.float64(), "h": pa.int64(), "times": pa.int32(), "alone": pa.int32(), "before": pa.int32(), "pair": pa.int64(),
-        "pair_level": pa.int8(), "level1": pa.int8(), "level2": pa.int8(), "word1": pa.int64(), "word2": pa.int64()}
+_TYPES = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "known": pa.int64(), "plain": pa.float64(),
+          "full": pa.float64(), "h": pa.int64(), "times": pa.int32(), "alone": pa.int32(), "before": pa.int32(), "pair": pa.int64(),
+          "pair_level": pa.int8(), "level1": pa.int8(), "level2": pa.int8(), "word1": pa.int64(), "word2": pa.int64()}
+#: Columns of a text, of its words that leave it, and of its bigrams that leave it with a word.
+_KINDS = {
+    _OWN: ("row", "doc_id", "held_out", "n_tokens", "known", "plain", "full"),
+    _WORDS: ("row", "h", "times", "alone", "before"),
+    _LOST: ("row", "pair", "times", "pair_level", "level1", "level2", "word1", "word2"),
+}
+_ASKS = ("row", "pair", "times", "pair_level", "level1", "level2")
+_SQL = {pa.int64(): "long", pa.bool_(): "boolean", pa.float64(): "double", pa.int32(): "int", pa.int8(): "tinyint"}
 
 
-def _rows(n: int, **columns) -> pa.RecordBatch:
-    """A batch of _ROW with nulls in the columns not given."""
-    return pa.RecordBatch.from_arrays(
-        [pa.nulls(n, t) if columns.get(c) is None else pa.array(columns[c], t) for c, t in _ROW.items()], list(_ROW))
+def _schema(columns) -> str:
+    return ", ".join(f"{c} {_SQL[_TYPES[c]]}" for c in columns)
+
+
+def _stream(batches: list[pa.RecordBatch]) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        for batch in batches:
+            writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _streamed(packed: RDD, spark, columns) -> DataFrame:
+    """The rows of Arrow streams."""
+    def run(batches):
+        for batch in batches:
+            for x in batch.column(0):
+                yield from pa.ipc.open_stream(x.as_buffer())
+
+    return spark.createDataFrame(packed.map(lambda x: (x,)), "packed binary", verifySchema=False).mapInArrow(run, _schema(columns))
+
+
+def _asked(asks: list[dict], parts: int) -> list[tuple]:
+    """Rows of _PLACED that ask for the counts of bigrams, those of a row together."""
+    x = {c: np.concatenate([np.asarray(a[c]) for a in asks]) for c in asks[0]}
+    keys = x["pair"].view(_U)
+    order = np.lexsort((x["row"], keys))
+    x, keys = {c: v[order] for c, v in x.items()}, keys[order]
+    first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (x["row"][1:] != x["row"][:-1])])[:len(keys)])
+    times = np.add.reduceat(x["times"], first)
+    keys, x = keys[first], {c: v[first] for c, v in x.items()}
+    least = int(x["row"].min())
+    return [(p, _ASKED, least.to_bytes(8, "little") + _pack(
+        _steps(keys[i:j], base), x["row"][i:j] - least, times[i:j] - 1, *(x[c][i:j] for c in _ASKS[3:]))) for p, base, i, j in _dealt(keys, parts)]
+
+
+def _gains(rows, parts: int, base: int):
+    """(block of rows, (part, rows and gains)): what a part's bigrams add to their texts, from their counts."""
+    for p, found in _by_part(rows).items():
+        keys, counts = _merged(found.get(_COUNTS, []), _bases(parts)[p])
+        sums: list[tuple[np.ndarray, np.ndarray]] = []
+        for x in found.get(_ASKED, ()):
+            steps, row, times, pair_level, level1, level2 = _unpack(x[8:], len(_ASKS))
+            asked = np.cumsum(steps, dtype=_U) + _U(_bases(parts)[p])
+            at = np.searchsorted(keys, asked)
+            at[at == len(keys)] = 0
+            count = np.where(keys[at] == asked, counts[at], 0) if len(keys) else np.zeros(len(asked), np.int64)
+            known = pair_level.view(np.int64)
+            known = np.where((known == 0) & (count > 0), level(np.maximum(count, 1)), known)
+            there = np.flatnonzero(known)
+            before, alone = (_estimate(c.view(np.int64)[there]) for c in (level1, level2))
+            gain = np.log10(1 + np.minimum(_estimate(known[there]), before) * float(base) / (PRIOR * (alone + 1)))
+            own, back = np.unique(row.view(np.int64)[there] + int.from_bytes(x[:8], "little"), return_inverse=True)
+            if len(own):
+                sums.append((own, np.bincount(back, (times.view(np.int64)[there] + 1) * gain)))
+        if not sums:
+            continue
+        row, gain = (np.concatenate([s[i] for s in sums]) for i in (0, 1))
+        order = np.argsort(row, kind="stable")
+        row, gain = row[order], gain[order]
+        edges = np.flatnonzero(np.concatenate([[True], row[1:] // BLOCK_ROWS != row[:-1] // BLOCK_ROWS])).tolist()
+        for i, j in zip(edges, [*edges[1:], len(row)]):
+            block = int(row[i]) // BLOCK_ROWS
+            yield block, (p, _pack(_steps(row[i:j].view(_U), block * BLOCK_ROWS)) + gain[i:j].tobytes())
+
+
+def _put_together(rows):
+    """Arrow streams of the texts of a task, with what their bigrams have added; sums go by part, so that reruns agree."""
+    own: list[pa.RecordBatch] = []
+    gains: list[tuple[int, int, bytes]] = []
+    for block, (p, packed) in rows:
+        if p < 0:
+            own += pa.ipc.open_stream(packed)
+        else:
+            gains.append((p, block, packed))
+    if not own:
+        return
+    table = pa.Table.from_batches(own).combine_chunks()
+    row, full = (table[c].to_numpy().copy() for c in ("row", "full"))
+    order = np.argsort(row)
+    for _, block, packed in sorted(gains):
+        n = int.from_bytes(packed[:8], "little")
+        at = np.cumsum(_unpack(packed[: len(packed) - 8 * n], 1)[0], dtype=_U).view(np.int64) + block * BLOCK_ROWS
+        np.add.at(full, order[np.searchsorted(row, at, sorter=order)], np.frombuffer(packed, np.float64, n, len(packed) - 8 * n))
+    table = table.set_column(table.schema.get_field_index("full"), "full", pa.array(full))
+    yield _stream(table.to_batches())
 
 
 def _by_row(rows: np.ndarray, keys: np.ndarray):
@@ -287,83 +514,115 @@ def _measure(m: Model, tokens: np.ndarray, at: np.ndarray, base: int):
     order, heads = _by_row(row[out], tokens[out])
     out = out[order]
     missing, n = lost[back[out]].astype(np.int32), len(heads)
-    words = None if not n else (n, row[out[heads]], {
-        "h": tokens[out[heads]].view(np.int64), "times": np.diff(np.append(heads, len(out))).astype(np.int32),
-        "alone": np.add.reduceat(missing, heads), "before": np.add.reduceat(missing * begins[out], heads)})
-
-    out = np.flatnonzero(away)
-    order, heads = _by_row(row[places[out]], pairs[out])
-    out, n = out[order], len(heads)
-    i = out[heads]
-    bigrams = None if not n else (n, row[places[i]], {
-        "pair": pairs[i].view(np.int64), "times": np.diff(np.append(heads, len(out))).astype(np.int32), "pair_level": pair_level[of[i]].astype(np.int8),
-        "level1": levels[first[i]].astype(np.int8), "level2": levels[second[i]].astype(np.int8),
-        "word1": pa.array(own[first[i]].view(np.int64), mask=~lost[first[i]]),
-        "word2": pa.array(own[second[i]].view(np.int64), mask=~lost[second[i]])})
+    leaving = {}
+    if n:
+        leaving[_WORDS] = {
+            "row": row[out[heads]], "h": tokens[out[heads]].view(np.int64), "times": np.diff(np.append(heads, len(out))).astype(np.int32),
+            "alone": np.add.reduceat(missing, heads), "before": np.add.reduceat(missing * begins[out], heads)}
+
+    def bigrams(i):
+        return {"row": row[places[i]], "pair": pairs[i].view(np.int64), "times": np.ones(len(i), np.int32), "pair_level": pair_level[of[i]].astype(np.int8),
+                "level1": levels[first[i]].astype(np.int8), "level2": levels[second[i]].astype(np.int8)}
+
+    alone = lost[first] | lost[second]
+    if len(i := np.flatnonzero(away & ~alone)):
+        leaving[_ASKED] = bigrams(i)
+    if len(i := np.flatnonzero(away & alone)):
+        leaving[_LOST] = bigrams(i) | {
+            "word1": pa.array(own[first[i]].view(np.int64), mask=~lost[first[i]]),
+            "word2": pa.array(own[second[i]].view(np.int64), mask=~lost[second[i]])}
     sums = [np.add.reduceat(x, at[:-1]) for x in ((exact > 0).astype(np.int64), plain, full)]
-    return (np.diff(at), *sums), [x for x in (words, bigrams) if x]
+    return (np.diff(at), *sums), leaving
 
 
-def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+def score(docs: DataFrame, model: Model, counts: Counts) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of doc_id, held_out, text.
 
     base_score takes exact counts: those of the most frequent words are at hand;
     a text's other words leave as (word, row, times) and meet their counts in a
     join, whose keys are rare words and so never hot. score takes the levels of
     the filter; words and bigrams that are not in it, and may be too rare for it,
-    leave as well and meet `counts`. Cases: a null or empty text is one
+    leave as well and meet `counts`: bigrams ask for theirs at the part of their
+    hash, from where each part sends one sum a text. Cases: a null or empty text is one
     end; repeated rows and null ids keep their rows; extra columns are not read.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(model).values()))
+    spark, parts = docs.sparkSession, counts.parts
+    sent = spark.sparkContext.broadcast(tuple(vars(model).values()))
     base = model.tokens + model.distinct + 1
 
     def run(batches):
         m = Model(*sent.value)
-        key = TaskContext.get().partitionId() << 40
+        key, n = TaskContext.get().partitionId() << 40, 0
+        held: dict[int, list] = {}
+
+        def flush(n: int):
+            rows = _asked(held.pop(_ASKED), parts) if _ASKED in held else []
+            for kind, found in held.items():
+                rows.append(((key // BLOCK_ROWS + n) % parts, kind, _stream(found)))
+            held.clear()
+            return _placed_batch(rows)
+
         for batch in batches:
             for i, j, tokens, at in _tokens(batch.column(2)):
                 own, leaving = _measure(m, tokens, at, base)
-                own = dict(zip(("n_tokens", "known", "plain", "full"), own))
-                yield _rows(j - i, row=np.arange(i, j) + key, doc_id=batch.column(0)[i:j], held_out=batch.column(1)[i:j], **own)
-                for n, row, columns in leaving:
-                    yield _rows(n, row=row + i + key, **columns)
+                own = dict(zip(_KINDS[_OWN], (np.arange(i, j) + key, batch.column(0)[i:j], batch.column(1)[i:j], *own)))
+                for kind, columns in {_OWN: own, **leaving}.items():
+                    if kind != _OWN:
+                        columns["row"] = columns["row"] + (i + key)
+                    held.setdefault(kind, []).append(columns if kind == _ASKED else pa.RecordBatch.from_arrays(
+                        [pa.array(columns[c], _TYPES[c]) for c in _KINDS[kind]], list(_KINDS[kind])))
+                if sum(len(x["row"]) for x in held.get(_ASKED, ())) >= ASKED or sum(len(x) for kind in held if kind != _ASKED for x in held[kind]) >= ASKED_TEXTS:
+                    yield flush(n := n + 1)
             key += len(batch)
+        if held:
+            yield flush(n + 1)
+
+    placed = _placed(docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(run, _PLACED), parts)
 
-    rows = cut(docs.select(F.col("doc_id").cast("long"), "held_out", "text").mapInArrow(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, known long, plain double, full double, h long, times int, alone int, "
-             "before int, pair long, pair_level tinyint, level1 tinyint, level2 tinyint, word1 long, word2 long"))
-    words = counts.where("not pair").select("h", "c")
+    def of(kind: int) -> RDD:
+        return placed.filter(lambda x: x[1][0] == kind).map(lambda x: x[1][1])
+
+    words, own = counts.words, of(_OWN)
+    if max(model.word_level, model.pair_level) > 1:
+        met = counts.bigrams.union(placed)
+        if model.word_level > 1:
+            met = met.union(_named(_streamed(of(_LOST), spark, _KINDS[_LOST]), words, parts))
+        gains = met.mapPartitions(lambda rows: _gains(rows, parts, base))
+        own = own.flatMap(_blocks).union(gains).partitionBy(parts).mapPartitions(_put_together)
+    rows = _streamed(own, spark, _KINDS[_OWN])
     middle = _middle(_level(F.col("c")))
-    more = rows.where("h is not null").select("row", "h", "times", "alone", "before").join(words, "h", "left").select(
+    more = _streamed(of(_WORDS), spark, _KINDS[_WORDS]).join(words, "h", "left").select(
         "row", F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"),
         (F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(base)))).alias("plain"),
         (F.col("alone") * F.log10(middle + 1) - F.col("before") * F.log10(middle / PRIOR + 1)).alias("full"))
-    if max(model.word_level, model.pair_level) > 1:
-        more = more.unionByName(_bigrams_away(rows, model, counts, base))
     more = more.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("known", "plain", "full")])
-    return rows.where("n_tokens is not null").join(more, "row", "left").select(
+    return rows.join(more, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("plain") + F.coalesce("more_plain", F.lit(0.0))).alias("base_score"),
         (F.col("full") + F.coalesce("more_full", F.lit(0.0))).alias("score"))
 
 
-def _bigrams_away(rows: DataFrame, model: Model, counts: DataFrame, base: int) -> DataFrame:
-    """row, known, plain, full: what bigrams add that left their text, from their own counts and their words'."""
-    lone = F.col("word1").isNotNull() | F.col("word2").isNotNull()
-    left = rows.where("pair is not null").select("row", "pair", "times", "pair_level", "level1", "level2", "word1", "word2")
-    named = left.where(lone)
+def _blocks(packed: bytes):
+    """The texts of an Arrow stream by blocks of rows, which are together in it."""
+    table = pa.ipc.open_stream(packed).read_all()
+    block = table["row"].to_numpy() // BLOCK_ROWS
+    edges = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])[:len(block)]).tolist()
+    for i, j in zip(edges, [*edges[1:], len(block)]):
+        yield int(block[i]), (-1, _stream(table.slice(i, j - i).combine_chunks().to_batches()))
+
+
+def _named(left: DataFrame, words: DataFrame, parts: int) -> RDD:
+    """Bigrams that left with a word, with the levels of its count, as they ask for their own."""
     for i in (1, 2):
         # rows without this word get keys of their own, which meet nothing and spread
-        word = counts.where("not pair").select(F.col("h").alias("_w"), F.col("c").alias("_c"))
+        word = words.select(F.col("h").alias("_w"), F.col("c").alias("_c"))
         on = (F.coalesce(f"word{i}", F.xxhash64("row", "pair")) == F.col("_w")) & F.col(f"word{i}").isNotNull()
-        named = named.join(word, on, "left").withColumn(f"level{i}", F.coalesce(_level(F.col("_c")).cast("tinyint"), f"level{i}")).drop("_w", "_c")
-    met = (left.where(~lone).unionByName(named) if model.word_level > 1 else left).drop("word1", "word2")
-    if model.pair_level > 1:
-        rest = counts.where("pair").select(F.col("h").alias("pair"), "c")
-        met = met.join(rest, "pair", "left").withColumn(
-            "pair_level", F.when(F.col("pair_level") > 0, F.col("pair_level")).otherwise(_level(F.col("c")).cast("tinyint")))
-    seen, before, alone = (_middle(F.col(c)) for c in ("pair_level", "level1", "level2"))
-    gain = F.log10(1 + F.least(seen, before) * float(base) / (PRIOR * (alone + 1)))
-    return met.where("pair_level > 0").select(
-        "row", F.lit(0).alias("known"), F.lit(0.0).alias("plain"), (F.col("times") * gain).alias("full"))
+        left = left.join(word, on, "left").withColumn(f"level{i}", F.coalesce(_level(F.col("_c")).cast("tinyint"), f"level{i}")).drop("_w", "_c")
+
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                yield _placed_batch(_asked([{c: batch.column(c).to_numpy() for c in _ASKS}], parts))
+
+    return _placed(left.select(*_ASKS).mapInArrow(run, _PLACED), parts)
