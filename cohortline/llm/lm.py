@@ -409,10 +409,10 @@ def _streamed(packed: RDD, spark, columns) -> DataFrame:
 
 
 def _asked(asks: list[dict], parts: int) -> list[tuple]:
-    """Rows of _PLACED that ask for the counts of bigrams, those of a row together."""
+    """Rows of _PLACED that ask for the counts of bigrams, those of a row together; asks come by ascending rows."""
     x = {c: np.concatenate([np.asarray(a[c]) for a in asks]) for c in asks[0]}
     keys = x["pair"].view(_U)
-    order = np.lexsort((x["row"], keys))
+    order = np.argsort(keys, kind="stable")
     x, keys = {c: v[order] for c, v in x.items()}, keys[order]
     first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (x["row"][1:] != x["row"][:-1])])[:len(keys)])
     times = np.add.reduceat(x["times"], first)
@@ -423,8 +423,14 @@ def _asked(asks: list[dict], parts: int) -> list[tuple]:
 
 
 def _gains(rows, parts: int, base: int):
-    """(block of rows, (part, rows and gains)): what a part's bigrams add to their texts, from their counts."""
+    """(block of rows, (part, rows and gains)): what a part's bigrams add to their texts, from their counts.
+
+    Texts and words that were placed here go on, by blocks of rows as part -1 and by this part as -2.
+    """
     for p, found in _by_part(rows).items():
+        for packed in found.get(_OWN, ()):
+            yield from _blocks(packed)
+        yield from ((p, (-2, packed)) for packed in found.get(_WORDS, ()))
         keys, counts = _merged(found.get(_COUNTS, []), _bases(parts)[p])
         sums: list[tuple[np.ndarray, np.ndarray]] = []
         for x in found.get(_ASKED, ()):
@@ -457,9 +463,9 @@ def _put_together(rows):
     own: list[pa.RecordBatch] = []
     gains: list[tuple[int, int, bytes]] = []
     for block, (p, packed) in rows:
-        if p < 0:
+        if p == -1:
             own += pa.ipc.open_stream(packed)
-        else:
+        elif p >= 0:
             gains.append((p, block, packed))
     if not own:
         return
@@ -582,16 +588,16 @@ def score(docs: DataFrame, model: Model, counts: Counts) -> DataFrame:
     def of(kind: int) -> RDD:
         return placed.filter(lambda x: x[1][0] == kind).map(lambda x: x[1][1])
 
-    words, own = counts.words, of(_OWN)
+    words, own, away = counts.words, of(_OWN), of(_WORDS)
     if max(model.word_level, model.pair_level) > 1:
         met = counts.bigrams.union(placed)
         if model.word_level > 1:
             met = met.union(_named(_streamed(of(_LOST), spark, _KINDS[_LOST]), words, parts))
-        gains = met.mapPartitions(lambda rows: _gains(rows, parts, base))
-        own = own.flatMap(_blocks).union(gains).partitionBy(parts).mapPartitions(_put_together)
+        met = met.mapPartitions(lambda rows: _gains(rows, parts, base)).partitionBy(parts)
+        own, away = met.mapPartitions(_put_together), met.filter(lambda x: x[1][0] == -2).map(lambda x: x[1][1])
     rows = _streamed(own, spark, _KINDS[_OWN])
     middle = _middle(_level(F.col("c")))
-    more = _streamed(of(_WORDS), spark, _KINDS[_WORDS]).join(words, "h", "left").select(
+    more = _streamed(away, spark, _KINDS[_WORDS]).join(words, "h", "left").select(
         "row", F.when(F.col("c") > 0, F.col("times")).otherwise(0).alias("known"),
         (F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(base)))).alias("plain"),
         (F.col("alone") * F.log10(middle + 1) - F.col("before") * F.log10(middle / PRIOR + 1)).alias("full"))
@@ -623,6 +629,7 @@ def _named(left: DataFrame, words: DataFrame, parts: int) -> RDD:
     def run(batches):
         for batch in batches:
             if len(batch):
-                yield _placed_batch(_asked([{c: batch.column(c).to_numpy() for c in _ASKS}], parts))
+                order = np.argsort(batch.column("row").to_numpy(), kind="stable")
+                yield _placed_batch(_asked([{c: batch.column(c).to_numpy()[order] for c in _ASKS}], parts))
 
     return _placed(left.select(*_ASKS).mapInArrow(run, _PLACED), parts)

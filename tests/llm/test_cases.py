@@ -1,6 +1,7 @@
 """Empty tables, nulls, ties, repeated rows, very long texts and clashing column names."""
 
 import math
+import os
 import tracemalloc
 from collections import Counter
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cohortline.llm import chat, decontaminate, embeddings, fixity, jaccard, lm, mixing, quality, token_counts, toxicity
+from cohortline.llm import chat, common, decontaminate, embeddings, fixity, jaccard, lm, mixing, quality, token_counts, toxicity
 
 LONG = " ".join(f"w{i % 5000}" for i in range(60_000))
 ROWS = [
@@ -225,6 +226,23 @@ def test_lm_scores_take_every_bigram_whatever_the_filter_holds(spark, monkeypatc
         assert found[i].n_known == sum(words[x] > 0 for x in tokens(t))
 
 
+def test_lm_bigrams_are_moved_once_and_packed(spark, monkeypatch):
+    """Only the words are written as a table; a bigram of a run takes less than its hash."""
+    monkeypatch.setattr(lm, "FILL", 0.0)
+    folder = common.shared_folder(spark).removeprefix("file:")
+    there = set(os.listdir(folder))
+    docs = spark.createDataFrame([(i, False, f"a{i % 7} b{i % 5} c{i % 3} d") for i in range(200)], "doc_id long, held_out boolean, text string")
+    model, counts = lm.learn(docs.select("text"))
+    assert lm.score(docs, model, counts).count() == 200
+    assert sum(name.startswith("cohortline-") for name in set(os.listdir(folder)) - there) == 1
+    some = np.random.default_rng(1)
+    keys, n = np.unique(some.integers(0, 1 << 64, 100_000, np.uint64)), some.integers(1, 4, 100_000)
+    runs = [lm._pack(lm._steps(keys[i::2], 0), n[i::2] - 1) for i in (0, 1)]
+    assert sum(map(len, runs)) < 7 * len(keys)
+    merged = lm._merged([*runs, runs[0]], 0)
+    assert np.array_equal(merged[0], keys) and np.array_equal(merged[1], n * np.where(np.arange(len(n)) % 2, 1, 2))
+
+
 def test_decontamination_cases(docs, none, bench):
     rows = decontaminate.summary(docs, bench).collect()
     assert len(rows) == len(ROWS)
