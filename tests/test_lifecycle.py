@@ -192,6 +192,48 @@ def test_asset_summary_counts_repeated_rows_of_an_asset_once(spark):
     assert r["churn_date"] is None and r["most_recently_live"] == t("2020-12-01 00:00:00")
 
 
+def summary_assets(spark):
+    a = assets_of(spark, ("Free", "2020-01-01 00:00:00", None), ("Direct", "2020-02-01 00:00:00", "2020-03-01 00:00:00"))
+    return a.withColumns({"most_recent_size_mb": F.lit(2048.0), "email_domain": F.lit("e"), "user_classification": F.lit("Internal")})
+
+
+def test_asset_summaries_keep_users_without_key_and_tier(spark):
+    a = summary_assets(spark)
+    nobody = a.withColumn("userkey", F.lit(None).cast(a.schema["userkey"].dataType))
+    untiered = a.withColumn("userkey", F.lit("v")).withColumn("db_billing_identity", F.lit(None).cast("string"))
+    both = a.unionByName(nobody).unionByName(untiered)
+    for got, n in ((billing.user_asset_summary(both, "2020-12-01"), "total_db_count"), (billing.user_asset_summary_narrow(both), "total_db")):
+        user = a.first()["userkey"]
+        dbs = a.select("dbid").distinct().count()
+        assert {(r["userkey"], r["channels"], r[n]) for r in got.collect()} == {
+            (user, "Direct,Free", dbs), (None, "Direct,Free", dbs), ("v", None, dbs)}
+
+
+@pytest.mark.parametrize("build", [lambda a: billing.user_asset_summary(a, "2020-12-01"), billing.user_asset_summary_narrow])
+def test_asset_summaries_collect_pairs_of_user_and_tier_not_assets(spark, build):
+    plan = build(summary_assets(spark))._jdf.queryExecution().executedPlan().toString()
+    lists = [line for line in plan.splitlines() if "collect_set" in line and "Aggregate" in line]
+    assert lists and not any("min(" in line or "distinct" in line for line in lists)
+
+
+def test_usage_reads_the_assets_once_for_days_and_once_for_sizes(views):
+    plan = usage.usage_runs(views.assets(), views.size_history(), s.ASSET_AS_OF)._jdf.queryExecution().analyzed().toString()
+    # The pieces of days, those of sizes, and the owners.
+    assert sum("RepartitionByExpression [dbid" in line for line in plan.splitlines()) == 3
+
+
+def test_hours_are_summed_per_user_and_tier_before_the_groups(spark):
+    hourly = spark.createDataFrame(
+        [(1, "Free", 1, 2.5), (1, "Free", 2, None), (1, "GCP", 1, 1.0), (1, "Direct", 1, 0.5), (1, None, 1, 9.0), (2, "Free", 1, None), (None, "GDS", 1, 4.0)],
+        "userkey long, db_billing_identity string, hour_of_day long, memory_gb double")
+    made = billing.billing_summary(hourly)
+    got = {r["userkey"]: (r["live_hours_free"], r["live_hours_pro"], r["total_gb_hours_free"], r["total_gb_hours_pro"],
+                          r["total_gb_hours_gds"], r["total_revenue_dollars_pro"]) for r in made.collect()}
+    assert got == {1: (2, 2, 2.5, 1.5, 0.0, 0.14), 2: (1, 0, None, 0.0, 0.0, 0.0), None: (0, 0, 0.0, 0.0, 4.0, 0.0)}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Aggregate\(keys=\[userkey#\d+L, db_billing_identity#\d+\]", plan)
+
+
 @pytest.mark.parametrize("build", ["lifecycle_status", "tier_month_usage"])
 def test_the_lifecycle_is_placed_by_user_once(views, build):
     made = getattr(lifecycle, build)(views.assets(), views.size_history(), s.ASSET_AS_OF)
